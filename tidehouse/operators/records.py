@@ -12,12 +12,16 @@ BROKEN = "_broken"
 
 
 def with_parsed(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Adds ``record`` (parsed) and ``is_dirty``; a line is dirty when it is no JSON of this shape."""
+    """Adds ``record`` (parsed) and ``is_dirty``; a line is dirty when it is no JSON of this shape.
+
+    The one-element explode keeps later filters on the record above the parsing step; pushed
+    below it, they would parse every line a second time.
+    """
     marked = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
     parsed = F.from_json(
         F.col(value), marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
     )
-    return lines.withColumn("record", parsed).withColumn(
+    return lines.withColumn("record", F.explode(F.array(parsed))).withColumn(
         "is_dirty", F.col(f"record.{BROKEN}").isNotNull()
     )
 
