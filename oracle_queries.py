@@ -294,7 +294,7 @@ ORACLE: dict[str, str] = {
         CAST(event_id * 2 + i AS VARCHAR) AS item, 'sku_id' AS item_type, page_id, {COMMON},
         us // 1000 AS ts
         FROM (SELECT *, unnest({N_ITEMS}) AS i FROM page_log WHERE page_id <> 'register')"""),
-    "fix_new_visitor": _with(PAGES, """marked AS (SELECT *, CAST(pts AS DATE) AS day,
+    "fix_is_new": _with(PAGES, """marked AS (SELECT *, CAST(pts AS DATE) AS day,
           first_value(CASE WHEN is_new = '1' THEN CAST(pts AS DATE)
             ELSE CAST(pts AS DATE) - 1 END) OVER (PARTITION BY mid ORDER BY us, event_id) AS new_day
           FROM page_log)""", select="""SELECT event_id, mid, page_id,
@@ -346,7 +346,7 @@ ORACLE: dict[str, str] = {
         left(o_orderpriority, 1) AS appraise_code, dic_name AS appraise_name,
         CAST(epoch(o_orderdate) AS BIGINT) AS ts
         FROM orders LEFT JOIN base_dic ON dic_code = left(o_orderpriority, 1)"""),
-    "interval_join_5s": _with(FAST_PAGES, select="""SELECT l.mid, l.event_id AS left_id,
+    "interval_join": _with(FAST_PAGES, select="""SELECT l.mid, l.event_id AS left_id,
         r.event_id AS right_id, r.us - l.us AS gap_us
         FROM page_log l JOIN page_log r ON l.mid = r.mid
           AND r.us BETWEEN l.us - 5000000 AND l.us + 5000000
@@ -430,3 +430,109 @@ ORACLE: dict[str, str] = {
         CAST(props->>'$.k' AS BIGINT) AS k,
         concat('{"next":', CAST(props->>'$.k' AS BIGINT) + 1, '}') AS written FROM events""",
 }
+
+
+# --- streaming queries: windows and rows the watermark has settled -----------------------------
+
+
+def _closed(us: str, last_us: str, delay_ms: int = 2000) -> str:
+    """The ten-second window of ``us`` ends at or before the final watermark."""
+    return f"({_window(us)} + 10000000) // 1000 <= {last_us} // 1000 - {delay_ms}"
+
+
+LAST_PAGE = "(SELECT max(us) FROM page_log)"
+# A bounce is sent on when the twenty-second slice that starts with it is closed.
+SETTLED_JUMPS = f"""settled_uj AS (SELECT * FROM uj
+  WHERE ({_window()} + 20000000) // 1000 <= {LAST_PAGE} // 1000 - 2000)"""
+STREAM_UNION = UNION_ROWS.replace("FROM uj", "FROM settled_uj")
+HOME_FIRST = """first_visit AS (
+  SELECT * FROM page_log WHERE page_id IN ('home', 'good_detail')
+  QUALIFY row_number() OVER (PARTITION BY mid, page_id, CAST(pts AS DATE) ORDER BY us, event_id) = 1)"""
+LOGIN_DAYS = """daily AS (
+  SELECT uid, us, CAST(pts AS DATE) AS day FROM page_log
+  WHERE uid IS NOT NULL AND last_page_id IS NULL
+  QUALIFY row_number() OVER (PARTITION BY uid, CAST(pts AS DATE) ORDER BY us, event_id) = 1),
+away AS (SELECT *, day - lag(day) OVER (PARTITION BY uid ORDER BY day) AS days FROM daily)"""
+SIGNUPS = """signups AS (SELECT epoch_us(ts) // 1000000 * 1000000 AS us FROM events
+  WHERE event_type = 'signup')"""
+TOPIC_ROWS = f"""topics AS (
+  SELECT 'page' AS topic, mid, CAST(NULL AS VARCHAR) AS item, us // 1000 AS ts
+    FROM page_log WHERE page_id <> 'register'
+  UNION ALL SELECT 'start', mid, NULL, us // 1000 FROM page_log WHERE page_id = 'register'
+  UNION ALL SELECT 'error', mid, NULL, us // 1000 FROM page_log WHERE page_id = 'error'
+  UNION ALL SELECT 'display', mid, CAST(event_id + i AS VARCHAR), us // 1000
+    FROM (SELECT *, unnest({N_ITEMS}) AS i FROM page_log WHERE page_id <> 'register')
+  UNION ALL SELECT 'action', mid, CAST(event_id * 2 + i AS VARCHAR), us // 1000
+    FROM (SELECT *, unnest({N_ITEMS}) AS i FROM page_log WHERE page_id <> 'register'))"""
+
+ORACLE.update(
+    {
+        "stream_fix_is_new": ORACLE["fix_is_new"],
+        "stream_unique_visitor": _with(PAGES, select="""SELECT DISTINCT mid,
+            strftime(pts, '%Y-%m-%d') AS day FROM page_log WHERE last_page_id IS NULL"""),
+        "stream_user_jump": _with(FAST_PAGES, JUMPS, SETTLED_JUMPS,
+                                  select="SELECT event_id, mid, us AS ts_us FROM settled_uj"),
+        "stream_cart_first": _with(CART, select="""SELECT DISTINCT user_id,
+            left(coalesce(operate_time, create_time), 10) AS cart_day FROM cart_add"""),
+        "stream_interval_join": ORACLE["interval_join"],
+        "stream_left_join": _with(FAST_PAGES, """clicks AS (
+              SELECT mid, event_id AS left_id, us FROM page_log WHERE page_id = 'home'),
+            views AS (
+              SELECT mid, event_id AS right_id, us FROM page_log WHERE page_id = 'good_detail'),
+            passed AS (SELECT least((SELECT max(us) FROM clicks), (SELECT max(us) FROM views))
+              // 1000 AS ms),
+            joined AS (SELECT c.mid, left_id, right_id, c.us FROM clicks c LEFT JOIN views v
+              ON c.mid = v.mid AND v.us BETWEEN c.us - 5000000 AND c.us + 5000000)""",
+            select="""SELECT mid, left_id, right_id FROM joined, passed
+            WHERE right_id IS NOT NULL OR us // 1000 + 5000 < ms"""),
+        "stream_page_view_window": _with(FAST_PAGES, VISITORS, JUMPS, SETTLED_JUMPS, STREAM_UNION,
+            select=f"""SELECT {_stt_edt()}, vc, ch, ar, is_new, sum(uv_ct)::BIGINT AS uv_ct,
+            sum(sv_ct)::BIGINT AS sv_ct, sum(pv_ct)::BIGINT AS pv_ct,
+            sum(dur_sum)::BIGINT AS dur_sum, sum(uj_ct)::BIGINT AS uj_ct
+            FROM traffic WHERE {_closed('us', LAST_PAGE, 13000)} GROUP BY ALL"""),
+        "stream_keyword_window": _with(FAST_PAGES, WORDS, select=f"""SELECT 'search' AS source,
+            {_stt_edt()}, word AS keyword, count(*) AS keyword_count FROM words
+            WHERE {_closed('us', '(SELECT max(us) // 1000000 * 1000000 FROM words)')}
+            GROUP BY ALL"""),
+        "stream_home_detail": _with(PAGES, HOME_FIRST, select=f"""SELECT {_stt_edt()},
+            count(*) FILTER (page_id = 'home') AS home_uv_ct,
+            count(*) FILTER (page_id <> 'home') AS good_detail_uv_ct FROM first_visit
+            WHERE {_closed('us', '(SELECT max(us) FROM first_visit)')} GROUP BY ALL"""),
+        "stream_user_login": _with(PAGES, LOGIN_DAYS, select=f"""SELECT {_stt_edt()},
+            count(*) FILTER (days >= 8) AS back_ct, count(*) AS uu_ct FROM away
+            WHERE {_closed('us', '(SELECT max(us) FROM away)')} GROUP BY ALL"""),
+        "stream_trade_spu": _with(DETAIL, PRODUCTS, """enriched AS (
+              SELECT d.order_id, d.source_id AS user_id, d.sku_id, p.* EXCLUDE (sku_id),
+                epoch_us(CAST(d.order_create_time AS TIMESTAMP)) AS us,
+                CAST(d.split_total_amount AS DECIMAL(20,4)) AS amount
+              FROM order_detail d LEFT JOIN products p ON p.sku_id = d.sku_id)""",
+            select=f"""SELECT {_stt_edt()}, trademark_id, trademark_name, category1_id,
+            category1_name, category2_id, category2_name, category3_id, category3_name, user_id,
+            spu_id, spu_name, min(sku_id) AS sku_id, count(DISTINCT order_id) AS order_ct,
+            CAST(sum(amount) AS DOUBLE) AS order_amount FROM enriched
+            WHERE {_closed('us', '(SELECT max(us) FROM enriched)')} GROUP BY ALL"""),
+        "stream_newest": _with(FAST_PAGES, """spaced AS (
+              SELECT *, lead(us) OVER (PARTITION BY mid ORDER BY us, event_id) AS next_us
+              FROM page_log)""", select=f"""SELECT mid, us, event_id, page_id FROM spaced
+            WHERE (next_us IS NULL OR next_us - us > 2000000)
+              AND (us + 2000000) // 1000 <= {LAST_PAGE} // 1000 - 2000"""),
+        "sink_append": _with(PAGES, select="""SELECT event_id, mid, page_id, last_page_id
+            FROM page_log"""),
+        "sink_upsert_latest": _with(HEADER, select="""SELECT order_id, order_status, user_id, type,
+            header_ts FROM header WHERE type = 'update'"""),
+        "sink_window_result": _with(SIGNUPS, select=f"""SELECT {_stt_edt()},
+            count(*) AS register_ct FROM signups
+            WHERE {_closed('us', '(SELECT max(us) FROM signups)')} GROUP BY ALL"""),
+        "sink_dimensions": _with(PART_LOG, NEWEST_DIM, select="""SELECT sink_table, pk, type, data
+            FROM newest WHERE sink_table = 'dim_part'"""),
+        "sink_fan_out": _with(PAGES, TOPIC_ROWS, select="SELECT * FROM topics"),
+        "late_rows_dropped": _with("""late AS (SELECT epoch_us(ts) AS us FROM events
+            WHERE ts >= TIMESTAMP '2024-01-16')""", select=f"""SELECT {_stt_edt()},
+            count(*) AS event_ct FROM late
+            WHERE {_closed('us', '(SELECT max(us) FROM late)')} GROUP BY ALL"""),
+        "state_retention": _with(PAGES, """firsts AS (
+              SELECT mid, CAST(pts AS DATE) AS day, min(us) AS us FROM page_log GROUP BY ALL)""",
+            select=f"""SELECT mid, strftime(day, '%Y-%m-%d') AS day FROM firsts
+            WHERE us // 1000 + 86400000 > {LAST_PAGE} // 1000 - 86400000"""),
+    }
+)

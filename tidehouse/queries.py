@@ -32,8 +32,9 @@ def query(function: Query) -> Query:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         return function(spark, sf_dir)
 
-    run.__name__, run.__doc__ = function.__name__, function.__doc__
-    QUERIES[function.__name__] = run
+    name = function.__name__.removesuffix("_query")
+    run.__name__, run.__doc__ = name, function.__doc__
+    QUERIES[name] = run
     return run
 
 
@@ -279,7 +280,7 @@ def log_explode_action(spark, sf_dir):
 
 
 @query
-def fix_new_visitor(spark, sf_dir):
+def fix_is_new_query(spark, sf_dir):
     """Corrected new-visitor flag of every page view."""
     pages = samples.page_log(spark, sf_dir)
     return fix_is_new(pages, "ts", TIE).select(
@@ -379,7 +380,7 @@ def lookup_left(spark, sf_dir):
 
 
 @query
-def interval_join_5s(spark, sf_dir):
+def interval_join_query(spark, sf_dir):
     """Clicks and views of one visitor at most five seconds apart."""
     pages = samples.page_log(spark, sf_dir, fast=True)
 
