@@ -41,12 +41,16 @@ def spread_join(
     hot: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Shuffle join in which a hot key of ``facts`` is cut into parts.
+    """Shuffle join (inner or left) in which a hot key of ``facts`` is cut into parts.
 
     The part of a fact row is a hash of ``spread_by`` (repeatable when a task is run again); only
     the hot keys' ``rows`` are copied, once per part. Fact rows without a key match nothing and
-    are spread as well.
+    are spread as well. ``hot`` may come from a cheaper source that holds at least as many rows
+    per key; both sides are shuffled on (key, part), so adaptive execution can still split a hot
+    key of ``rows``.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("copied rows would be repeated; see regular_join for right and full")
     hot = F.broadcast(hot if hot is not None else hot_keys(facts, on, rows_per_task))
     has_key = F.lit(True)
     for name in on:
@@ -68,6 +72,20 @@ def spread_join(
     return left.join(right, [*on, "_part"], how).drop("_part")
 
 
+def regular_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str
+) -> DataFrame:
+    """Inner, left, right or full join on equal keys with hot keys of ``left`` cut into parts.
+
+    Right rows without partner are found against the distinct left keys and added.
+    """
+    joined = spread_join(left, right, on, spread_by, "left" if how in ("left", "full") else "inner")
+    if how in ("right", "full"):
+        lonely = right.join(left.select(*on).distinct(), list(on), "left_anti")
+        joined = joined.unionByName(lonely, allowMissingColumns=True)
+    return joined
+
+
 def lookup(
     facts: DataFrame,
     dimension: DataFrame,

@@ -15,7 +15,7 @@ from tidehouse.functions.times import date_id
 from tidehouse.functions.values import amount, fields, has_key
 from tidehouse.operators.changes import changes_of, increase, increased, moved_to
 from tidehouse.operators.keyed import newest_per_key
-from tidehouse.operators.lookup import code_names, is_small, lookup
+from tidehouse.operators.lookup import code_names, hot_keys, is_small, lookup, spread_join
 
 # Order of the versions of one order detail; the later columns only break ties.
 DETAIL_VERSION = ("ts", "sku_id", "source_id", "sku_num", "split_total_amount")
@@ -94,6 +94,11 @@ def order_coupons(changes: DataFrame) -> DataFrame:
     )
 
 
+def hot_orders(changes: DataFrame) -> DataFrame:
+    """Orders with more lines than one task should join, counted on the raw change log."""
+    return hot_keys(order_details(changes).select("order_id"), ["order_id"])
+
+
 def newest_headers(headers: DataFrame) -> DataFrame:
     return newest_per_key(headers, ["order_id"], ["header_ts", "type"])
 
@@ -109,7 +114,7 @@ def order_detail_wide(
     Lines, activities and coupons are first reduced to the newest row per order line, so no key
     repeats on either side of these joins, and all three are already laid out by order line: the
     left joins need no shuffle of their own. The source name comes by broadcast before the one
-    remaining shuffle, on order_id, whose hot partitions adaptive execution splits.
+    remaining shuffle, on order_id, in which the lines of a hot order are cut into parts.
     """
     line = ["order_detail_id"]
     details = newest_per_key(order_details(changes), line, version)
@@ -123,9 +128,10 @@ def order_detail_wide(
     named = lookup(lines, code_names(dictionary, "source_type", "dic_name"), ["source_type"],
                    line, "inner")
     headers = order_headers(changes) if headers is None else headers
-    return named.join(headers.withColumnRenamed("header_ts", "ts"), ["order_id"]).select(
-        *WIDE_COLUMNS
-    )
+    headers = headers.withColumnRenamed("header_ts", "ts")
+    return spread_join(
+        named, headers, ["order_id"], line, "inner", hot_orders(changes)
+    ).select(*WIDE_COLUMNS)
 
 
 def order_add(wide: DataFrame) -> DataFrame:
@@ -149,10 +155,16 @@ def payments_done(changes: DataFrame) -> DataFrame:
 
 
 def pay_detail(changes: DataFrame, newest_wide: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Paid order lines; ``newest_wide`` has one row per order line."""
+    """Paid order lines; ``newest_wide`` has one row per order line.
+
+    The lines of a hot order are cut into parts; its payments are copied to them.
+    """
     names = code_names(dictionary, "payment_type", "payment_type_name")
     pays = lookup(payments_done(changes), names, ["payment_type"], ["order_id"], "inner")
-    return pays.drop("user_id", "ts").join(newest_wide, ["order_id"]).select(
+    return spread_join(
+        newest_wide, pays.drop("user_id", "ts"), ["order_id"], ["order_detail_id"], "inner",
+        hot_orders(changes),
+    ).select(
         "order_detail_id", "order_id", "user_id", "sku_id", "province_id", "activity_id",
         "activity_rule_id", "coupon_id", F.col("payment_type").alias("payment_type_code"),
         "payment_type_name", "callback_time", "source_id", "source_type", "sku_num",
@@ -187,7 +199,10 @@ def order_refund_wide(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     small = is_small(dictionary)
     named = lookup(order_refunds(changes), types, ["refund_type"], ["id"], small=small)
     named = lookup(named, reasons, ["refund_reason_type"], ["id"], small=small)
-    return named.join(refunding_orders(changes), ["order_id"], "left").select(
+    return spread_join(
+        named, refunding_orders(changes), ["order_id"], ["id"], "left",
+        hot_keys(order_refunds(changes).select("order_id"), ["order_id"]),
+    ).select(
         "id", "user_id", "order_id", "sku_id", "province_id",
         date_id(F.col("create_time")).alias("date_id"), "create_time",
         F.col("refund_type").alias("refund_type_code"), "refund_type_name",
@@ -221,7 +236,14 @@ def refund_pay_wide(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.col("data")["province_id"].alias("province_id"), F.col("ts").alias("v"),
     )
     orders = newest_per_key(updates, ["order_id"], ["v", "user_id", "province_id"]).drop("v")
-    return paid.join(requests, ["order_id", "sku_id"]).join(orders, ["order_id"]).select(
+    keys = refund_payments_done(changes).select("order_id", "sku_id")
+    paid = spread_join(
+        paid, requests, ["order_id", "sku_id"], ["id", "callback_time"], "inner",
+        hot_keys(keys, ["order_id", "sku_id"]),
+    )
+    return spread_join(
+        paid, orders, ["order_id"], ["id", "callback_time"], "inner", hot_keys(keys, ["order_id"])
+    ).select(
         "id", "user_id", "order_id", "sku_id", "province_id",
         F.col("payment_type").alias("payment_type_code"), "payment_type_name",
         date_id(F.col("callback_time")).alias("date_id"), "callback_time", "refund_num",

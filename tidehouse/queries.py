@@ -14,7 +14,7 @@ from tidehouse.operators import records, routing
 from tidehouse.operators.changes import changes_of
 from tidehouse.operators.intervals import interval_join
 from tidehouse.operators.keyed import newest_per_key
-from tidehouse.operators.lookup import code_names, is_small, lookup
+from tidehouse.operators.lookup import is_small, regular_join, spread_join
 from tidehouse.operators.visits import fix_is_new
 from tidehouse.plans import actions, dimensions, metrics, trade, traffic
 from tidehouse.sources import samples, topics
@@ -323,7 +323,9 @@ def order_detail_inner(spark, sf_dir):
     headers = trade.order_headers(log).select(
         "order_id", "order_status", "user_id", "type", "header_ts"
     )
-    return details.join(headers, ["order_id"]).select(
+    return spread_join(
+        details, headers, ["order_id"], ["order_detail_id"], "inner", trade.hot_orders(log)
+    ).select(
         "order_detail_id", "order_id", "sku_id", "split_original_amount", "order_status",
         "user_id", "type", "header_ts",
     )
@@ -410,7 +412,7 @@ def _two_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _joined(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
     left, right = _two_sides(spark, sf_dir)
-    return left.join(right, ["id"], how).select("id", "name", "sex")
+    return regular_join(left, right, ["id"], ["name"], how).select("id", "name", "sex")
 
 
 @query
@@ -432,9 +434,8 @@ def join_right(spark, sf_dir):
 def join_full(spark, sf_dir):
     """Both ids are kept: each is null where the other side has no partner."""
     left, right = _two_sides(spark, sf_dir)
-    return left.join(right, left.id == right.id, "full").select(
-        left.id.alias("left_id"), right.id.alias("right_id"), "name", "sex"
-    )
+    left, right = left.withColumn("left_id", F.col("id")), right.withColumn("right_id", F.col("id"))
+    return regular_join(left, right, ["id"], ["name"], "full").drop("id")
 
 
 # --- dimension tables --------------------------------------------------------------------------

@@ -80,9 +80,9 @@ def stream_fix_is_new(spark, sf_dir):
 
 @query
 def stream_unique_visitor(spark, sf_dir):
-    """Visitors of each day."""
+    """Visitors of each day; a busy visitor is deduplicated in eight parts first."""
     out = Run(spark, "unique-visitor").result(
-        jobs.unique_visitors_stream(pages_stream(spark, sf_dir))
+        jobs.unique_visitors_stream(pages_stream(spark, sf_dir), parts=8)
     )
     return out.select("mid", F.date_format("ts", S.DAY_FORMAT).alias("day"))
 
@@ -300,4 +300,4 @@ def state_retention(spark, sf_dir):
     pages = pages_stream(spark, sf_dir).select("mid", "ts")
     run.write(first_of_day_stream(pages, ["mid"]), "firsts")
     state = spark.read.format("statestore").load(run.path("checkpoint-firsts"))
-    return state.select("key.mid", F.date_format("key.day", S.DAY_FORMAT).alias("day"))
+    return state.select("key.mid", F.date_format("key._day", S.DAY_FORMAT).alias("day"))

@@ -22,9 +22,9 @@ TRAFFIC_DELAY = "13 seconds"
 # --- traffic -----------------------------------------------------------------------------------
 
 
-def unique_visitors_stream(pages: DataFrame) -> DataFrame:
+def unique_visitors_stream(pages: DataFrame, parts: int = 1) -> DataFrame:
     """First session entry per visitor and day."""
-    return first_of_day_stream(traffic.entry_pages(pages), ["mid"])
+    return first_of_day_stream(traffic.entry_pages(pages), ["mid"], parts=parts)
 
 
 def user_jumps_stream(
@@ -71,20 +71,20 @@ def keyword_window_stream(pages: DataFrame, delay: str = DELAY) -> DataFrame:
     return metrics.keyword_window(words.withWatermark("ts", delay))
 
 
-def home_detail_visits_stream(pages: DataFrame) -> DataFrame:
+def home_detail_visits_stream(pages: DataFrame, parts: int = 1) -> DataFrame:
     """First daily visit of the home and the detail page per visitor."""
     two = pages.filter(F.col("page_id").isin(S.PAGE_HOME, S.PAGE_DETAIL))
-    return first_of_day_stream(two, ["mid", "page_id"])
+    return first_of_day_stream(two, ["mid", "page_id"], parts=parts)
 
 
 def home_detail_window_stream(first_visits: DataFrame, delay: str = DELAY) -> DataFrame:
     return metrics.home_detail_window(first_visits.withWatermark("ts", delay))
 
 
-def user_logins_stream(pages: DataFrame) -> DataFrame:
+def user_logins_stream(pages: DataFrame, parts: int = 1) -> DataFrame:
     """Daily logins; the deduplication leaves one row per user and day for the Python state."""
     known = traffic.entry_pages(pages).filter(F.col("uid").isNotNull())
-    return logins_stream(first_of_day_stream(known, ["uid"]))
+    return logins_stream(first_of_day_stream(known, ["uid"], parts=parts))
 
 
 def user_login_window_stream(daily: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -94,10 +94,10 @@ def user_login_window_stream(daily: DataFrame, delay: str = DELAY) -> DataFrame:
 # --- carts and registrations ---------------------------------------------------------------------
 
 
-def cart_first_of_day_stream(additions: DataFrame) -> DataFrame:
+def cart_first_of_day_stream(additions: DataFrame, parts: int = 1) -> DataFrame:
     """First cart addition per user and day."""
     timed = metrics.with_cart_time(additions)
-    return first_of_day_stream(timed, ["user_id"], "event_ts")
+    return first_of_day_stream(timed, ["user_id"], "event_ts", parts)
 
 
 def cart_user_window_stream(first_additions: DataFrame, delay: str = DELAY) -> DataFrame:
