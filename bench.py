@@ -32,10 +32,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = build_session(
-        "bench", f"local[{cpus}]",
-        spark_sql_shuffle_partitions=cpus, spark_driver_memory="12g", spark_ui_enabled="false",
-    )
+    extra = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.driver.memory": "12g",
+        "spark.ui.enabled": "false",
+    }
+    spark = build_session("bench", f"local[{cpus}]", extra)
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
     times = {}

@@ -441,9 +441,9 @@ def _closed(us: str, last_us: str, delay_ms: int = 2000) -> str:
 
 
 LAST_PAGE = "(SELECT max(us) FROM page_log)"
-# A bounce is sent on when the twenty-second slice that starts with it is closed.
+# A bounce is written when the mark, two seconds behind the latest page, is ten seconds past it.
 SETTLED_JUMPS = f"""settled_uj AS (SELECT * FROM uj
-  WHERE ({_window()} + 20000000) // 1000 <= {LAST_PAGE} // 1000 - 2000)"""
+  WHERE us <= {LAST_PAGE} - 12000000)"""
 STREAM_UNION = UNION_ROWS.replace("FROM uj", "FROM settled_uj")
 HOME_FIRST = """first_visit AS (
   SELECT * FROM page_log WHERE page_id IN ('home', 'good_detail')
@@ -485,6 +485,20 @@ ORACLE.update(
               ON c.mid = v.mid AND v.us BETWEEN c.us - 5000000 AND c.us + 5000000)""",
             select="""SELECT mid, left_id, right_id FROM joined, passed
             WHERE right_id IS NOT NULL OR us // 1000 + 5000 < ms"""),
+        "stream_full_join": _with(FAST_PAGES, """clicks AS (
+              SELECT mid, event_id AS left_id, us FROM page_log WHERE page_id = 'home'),
+            views AS (
+              SELECT mid, event_id AS right_id, us FROM page_log WHERE page_id = 'good_detail'),
+            passed AS (SELECT least((SELECT max(us) FROM clicks), (SELECT max(us) FROM views))
+              // 1000 AS ms),
+            joined AS (SELECT coalesce(c.mid, v.mid) AS mid, left_id, right_id,
+                coalesce(c.us, v.us) AS us
+              FROM clicks c FULL JOIN views v
+              ON c.mid = v.mid AND v.us BETWEEN c.us - 5000000 AND c.us + 5000000)""",
+            select="""SELECT mid, left_id, right_id FROM joined, passed
+            WHERE (left_id IS NOT NULL AND right_id IS NOT NULL) OR us // 1000 + 5000 < ms"""),
+        "stream_lookup": ORACLE["lookup_inner"],
+        "keyword_sql_function": ORACLE["keyword_explode"],
         "stream_page_view_window": _with(FAST_PAGES, VISITORS, JUMPS, SETTLED_JUMPS, STREAM_UNION,
             select=f"""SELECT {_stt_edt()}, vc, ch, ar, is_new, sum(uv_ct)::BIGINT AS uv_ct,
             sum(sv_ct)::BIGINT AS sv_ct, sum(pv_ct)::BIGINT AS pv_ct,

@@ -13,11 +13,13 @@ from tidehouse.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session(
-        "tests", "local[4]",
-        spark_sql_shuffle_partitions="4", spark_ui_enabled="false", spark_driver_memory="6g",
-        spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
-    )
+    extra = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = build_session("tests", "local[4]", extra)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -78,12 +78,19 @@ def test_bounce_split_over_deliveries(spark, tmp_path):
     deliveries = (
         [(0, "a", None, at(0)), (1, "b", None, at(2))],
         [(2, "a", "home", at(1)), (3, "b", None, at(4))],  # within the two seconds of grace
-        [(4, "z", "home", at(100))],
+        [(4, "z", "home", at(14)), (5, "c", None, at(13))],  # settles b's first entry
+        [(6, "c", "home", at(11)), (7, "c", "home", at(14))],  # one too late, one in time
+        [(8, "z", "home", at(100))],
+        [(9, "z", "home", at(200))],
     )
+    write = jobs.user_jumps_writer(str(out), str(tmp_path / "pending"), ["event_id"])
+    seen = []
     for rows in deliveries:
         feed.add(rows)
-        run(jobs.user_jumps_stream(feed.stream()), out, tmp_path / "check")
-    assert sorted(r.event_id for r in spark.read.parquet(str(out)).collect()) == [1, 3]
+        check = str(tmp_path / "check")
+        sinks.each_batch(feed.stream(), write, check).awaitTermination()
+        seen.append(sorted(r.event_id for r in spark.read.parquet(str(out)).collect()))
+    assert seen == [[], [], [1], [1], [1, 3], [1, 3]]
 
 
 def test_order_detail_stream(spark, tmp_path):

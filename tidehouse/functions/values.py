@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tidehouse.schemas import STRING_MAP
@@ -51,6 +51,17 @@ def json_keys(text: Column) -> Column:
     return F.json_object_keys(text)
 
 
+WORD = "([a-z0-9]+|[一-龥])"
+
+
 def words(text: Column) -> Column:
     """Runs of Latin letters and digits, and each Chinese character on its own."""
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+|[一-龥])"), F.lit(1))
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(1))
+
+
+def register_split_words(spark: SparkSession, name: str = "split_words") -> None:
+    """Makes ``LATERAL split_words(text)`` available in SQL: one row ``word`` per word."""
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(line STRING) RETURNS TABLE (word STRING) "
+        f"RETURN SELECT explode(regexp_extract_all(lower(line), '{WORD}', 1)) AS word"
+    )

@@ -529,6 +529,16 @@ def keyword_explode(spark, sf_dir):
     return found.select("word", F.unix_millis("ts").alias("ts"))
 
 
+@query
+def keyword_sql_function(spark, sf_dir):
+    """The same words through the SQL table function."""
+    values.register_split_words(spark)
+    keywords = metrics.search_keywords(samples.page_log(spark, sf_dir))
+    return spark.sql(
+        "SELECT word, unix_millis(ts) AS ts FROM {k}, LATERAL split_words(key_word)", k=keywords
+    )
+
+
 @query
 def keyword_window(spark, sf_dir):
     """Searches per ten seconds and word."""

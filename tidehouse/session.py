@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,16 +25,41 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "tidehouse", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with the settings above; ``extra`` overrides them (underscores stand for dots)."""
+def build_session(
+    app: str = "tidehouse", master: str | None = None, extra: dict[str, str] | None = None
+) -> SparkSession:
+    """Session with the settings above; ``extra`` adds to them or overrides them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("_", "."): v for k, v in extra.items()}}.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def state_partitions(spark: SparkSession) -> str:
+    """Partitions of streaming state: the session's own number, on one machine its cores."""
+    if spark.sparkContext.master.startswith("local"):
+        return str(spark.sparkContext.defaultParallelism)
+    return spark.conf.get("spark.sql.shuffle.partitions")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

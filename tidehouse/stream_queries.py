@@ -7,6 +7,8 @@ watermark has not closed by then are not in the result, as in a running job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +18,7 @@ from tidehouse.operators import records
 from tidehouse.operators.lookup import is_small
 from tidehouse.plans import actions, dimensions, metrics, trade
 from tidehouse.queries import query
-from tidehouse.session import ROCKSDB, run_dir
+from tidehouse.session import ROCKSDB, run_dir, settings, state_partitions
 from tidehouse.sources import samples, topics
 from tidehouse.streaming import jobs, sinks
 from tidehouse.streaming.state import first_of_day_stream, fix_is_new_stream
@@ -35,26 +37,37 @@ def pages_stream(spark: SparkSession, sf_dir: str, fast: bool = False) -> DataFr
     return samples.pages_of(table_stream(spark, sf_dir, "events"), fast)
 
 
-def finish(running: StreamingQuery) -> None:
-    """Waits until all present input is processed; a failed stream raises its error."""
-    running.awaitTermination()
-
-
 class Run:
     """Folders of one run: results, checkpoints and the streams between them."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         self.spark, self.root = spark, run_dir(spark, name)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def finish(self, start: Callable[[], StreamingQuery]) -> None:
+        """Starts a stream and waits until all present input is processed; errors are raised."""
+        needed = {
+            "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+            "spark.sql.shuffle.partitions": state_partitions(self.spark),
+        }
+        with settings(self.spark, needed):
+            start().awaitTermination()
+
     def write(self, df: DataFrame, name: str) -> None:
-        finish(sinks.append_rows(df, self.path(name), self.path(f"checkpoint-{name}")))
+        check = self.path(f"checkpoint-{name}")
+        self.finish(lambda: sinks.append_rows(df, self.path(name), check))
 
     def each(self, df: DataFrame, name: str, writer: sinks.BatchWriter) -> None:
-        finish(sinks.each_batch(df, writer, self.path(f"checkpoint-{name}")))
+        check = self.path(f"checkpoint-{name}")
+        self.finish(lambda: sinks.each_batch(df, writer, check))
+
+    def jumps(self, pages: DataFrame) -> None:
+        self.each(
+            pages, "jumps",
+            jobs.user_jumps_writer(self.path("jumps"), self.path("pending"), ["event_id"]),
+        )
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -91,8 +104,9 @@ def stream_unique_visitor(spark, sf_dir):
 def stream_user_jump(spark, sf_dir):
     """Bounced session entries."""
     pages = pages_stream(spark, sf_dir, fast=True).select("event_id", "mid", "last_page_id", "ts")
-    out = Run(spark, "user-jump").result(jobs.user_jumps_stream(pages))
-    return out.select("event_id", "mid", F.unix_micros("ts").alias("ts_us"))
+    run = Run(spark, "user-jump")
+    run.jumps(pages)
+    return run.read("jumps").select("event_id", "mid", F.unix_micros("ts").alias("ts_us"))
 
 
 @query
@@ -136,6 +150,29 @@ def stream_left_join(spark, sf_dir):
     return Run(spark, "left-join").result(joined.select("mid", "left_id", "right_id"))
 
 
+@query
+def stream_full_join(spark, sf_dir):
+    """Clicks and views near each other, and the lonely ones of both sides."""
+    left, right = _click_and_view(spark, sf_dir)
+    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts", how="full")
+    return Run(spark, "full-join").result(
+        joined.select(F.coalesce("mid", "_mid").alias("mid"), "left_id", "right_id")
+    )
+
+
+@query
+def stream_lookup(spark, sf_dir):
+    """Cart additions named by a dictionary that is read anew for every micro-batch."""
+    run = Run(spark, "lookup")
+    writer = sinks.refreshed_writer(
+        lambda: samples.dictionary(spark, sf_dir),
+        trade.cart_add,
+        sinks.window_writer([*S.CART_COLUMNS, "dic_name", "ts"], run.path("facts")),
+    )
+    run.each(samples.cart_info(table_stream(spark, sf_dir, "lineitem")), "facts", writer)
+    return run.read("facts").drop("batch")
+
+
 # --- windows ---------------------------------------------------------------------------------------
 
 
@@ -144,7 +181,7 @@ def stream_page_view_window(spark, sf_dir):
     """Traffic counters: visitor and bounce topics are written first, then all three are joined."""
     run = Run(spark, "page-view-window")
     run.write(jobs.unique_visitors_stream(pages_stream(spark, sf_dir, fast=True)), "visitors")
-    run.write(jobs.user_jumps_stream(pages_stream(spark, sf_dir, fast=True)), "jumps")
+    run.jumps(pages_stream(spark, sf_dir, fast=True))
     return run.result(
         jobs.page_view_window_stream(
             pages_stream(spark, sf_dir, fast=True), run.stream("visitors"), run.stream("jumps")
@@ -205,7 +242,7 @@ def sink_append(spark, sf_dir):
     """Page views appended to a topic as JSON lines, and read back."""
     run = Run(spark, "sink-append")
     pages = pages_stream(spark, sf_dir).select("event_id", "mid", "page_id", "last_page_id")
-    finish(sinks.append_topic(pages, run.path("topic"), run.path("checkpoint")))
+    run.finish(lambda: sinks.append_topic(pages, run.path("topic"), run.path("checkpoint")))
     lines = topics.read_topic(spark, run.path("topic"), streaming=False)
     return records.clean_records(lines, pages.schema)
 

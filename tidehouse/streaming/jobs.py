@@ -7,12 +7,16 @@ seconds. The window functions themselves are those of ``plans.metrics``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidehouse import schemas as S
+from tidehouse.operators.intervals import SECOND, bounced_entries
 from tidehouse.operators.lookup import code_names, lookup
 from tidehouse.plans import metrics, traffic, trade
+from tidehouse.streaming import sinks
 from tidehouse.streaming.state import first_of_day_stream, logins_stream
 
 DELAY = "2 seconds"
@@ -27,35 +31,46 @@ def unique_visitors_stream(pages: DataFrame, parts: int = 1) -> DataFrame:
     return first_of_day_stream(traffic.entry_pages(pages), ["mid"], parts=parts)
 
 
-def user_jumps_stream(
-    pages: DataFrame, within_s: int = 10, slice_s: int = 10, delay: str = DELAY
-) -> DataFrame:
-    """Bounced session entries, sent on when their slice closes.
+def user_jumps_writer(
+    out: str, pending: str, tie: Sequence[str] = (), within_s: int = 10, delay_s: int = 2
+) -> sinks.BatchWriter:
+    """Bounced session entries, written per micro-batch below ``out``.
 
-    A visitor's events are gathered in slices of ``slice_s`` seconds that overlap the next slice
-    by ``within_s`` seconds; an entry is judged in the slice whose first part it lies in. State
-    and group size are bounded by that many seconds of one visitor.
+    Whether an entry bounced is settled once the event-time mark (latest time seen less
+    ``delay_s``) is ``within_s`` past it. Until then its pages wait in ``pending`` and join the
+    next micro-batch; rows older than the mark come too late and are dropped. The rule itself is
+    the table's, so also here a busy visitor is cut into time slices and nothing is gathered into
+    lists. A repeated micro-batch reads the same pending pages and replaces its own folders.
     """
+    within, delay = within_s * SECOND, delay_s * SECOND
     us = F.unix_micros("ts")
-    event = F.struct(us.alias("us"), *[c for c in pages.columns if c != "ts"])
-    spans = F.window("ts", f"{slice_s + within_s} seconds", f"{slice_s} seconds")
-    grouped = (
-        pages.withWatermark("ts", delay)
-        .groupBy("mid", spans.alias("w"))
-        .agg(F.sort_array(F.collect_list(event)).alias("events"))
-    )
-    start = F.unix_micros(F.col("w.start"))
-
-    def bounced(e: Column, i: Column) -> Column:
-        following = F.get(F.col("events"), i + 1)
-        left_alone = following.isNull() | (following["us"] - e["us"] >= within_s * 1_000_000)
-        own = e["us"] - start < slice_s * 1_000_000
-        return own & e["last_page_id"].isNull() & (
-            left_alone | following["last_page_id"].isNull()
-        )
-
-    found = grouped.select(F.explode(F.filter("events", bounced)).alias("e"))
-    return found.select("e.*").withColumn("ts", F.timestamp_micros("us")).select(*pages.columns)
+
+    def latest(rows: DataFrame) -> int | None:
+        return rows.agg(F.max(us)).first()[0]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows, before = batch, None
+        if batch_id > 0:
+            waiting = batch.sparkSession.read.parquet(sinks.batch_folder(pending, batch_id - 1))
+            seen = latest(waiting)
+            if seen is not None:
+                before = seen - delay
+                rows = waiting.unionByName(batch.filter(us >= before))
+        rows = rows.persist()
+        try:
+            seen = latest(rows)
+            now = None if seen is None else seen - delay
+            settled = F.lit(False) if now is None else us <= now - within
+            if before is not None:
+                settled = settled & (us > before - within)
+            open_rows = rows if now is None else rows.filter(us > now - within)
+            found = bounced_entries(rows, "mid", "ts", tie, within_s).filter(settled)
+            found.write.mode("overwrite").parquet(sinks.batch_folder(out, batch_id))
+            open_rows.write.mode("overwrite").parquet(sinks.batch_folder(pending, batch_id))
+        finally:
+            rows.unpersist()
+
+    return write
 
 
 def page_view_window_stream(

@@ -52,7 +52,7 @@ def each_batch(
     return (writer.trigger(availableNow=True) if now else writer).start()
 
 
-def _batch_folder(path: str, batch_id: int) -> str:
+def batch_folder(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch={batch_id}"
 
 
@@ -61,7 +61,7 @@ def upsert_writer(path: str, keys: Sequence[str], version: Sequence[str]) -> Bat
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = newest_per_key(batch, keys, version)
-        newest.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        newest.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
     return write
 
@@ -83,7 +83,7 @@ def compact_latest(
 ) -> None:
     """Rewrites a keyed table with one row per key, as batch -1 of a new folder."""
     newest = newest_per_key(spark.read.parquet(path), keys, [*version, "batch"]).drop("batch")
-    newest.write.mode("overwrite").parquet(_batch_folder(to, -1))
+    newest.write.mode("overwrite").parquet(batch_folder(to, -1))
 
 
 def window_writer(
@@ -104,11 +104,24 @@ def window_writer(
             rows = rows.withColumn("batch", F.lit(batch_id))
             rows.write.format("jdbc").options(**jdbc).mode("append").save()
         else:
-            rows.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+            rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
     return write
 
 
+def refreshed_writer(
+    read: Callable[[], DataFrame],
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    write: BatchWriter,
+) -> BatchWriter:
+    """Combines every micro-batch with a table as it is at that moment, then writes the result."""
+
+    def refreshed(batch: DataFrame, batch_id: int) -> None:
+        write(combine(batch, read()), batch_id)
+
+    return refreshed
+
+
 def dimension_writer(path: str, read_config: Callable[[], DataFrame]) -> BatchWriter:
     """Writes every configured record to the folder of its target table.
 
@@ -119,7 +132,7 @@ def dimension_writer(path: str, read_config: Callable[[], DataFrame]) -> BatchWr
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = routing.newest_dimension_rows(routing.routed(batch, read_config()))
         rows.write.mode("overwrite").partitionBy("sink_table").parquet(
-            _batch_folder(path, batch_id)
+            batch_folder(path, batch_id)
         )
 
     return write
@@ -135,7 +148,7 @@ def fan_out_writer(
         try:
             for name, select in branches.items():
                 lines = as_lines(select(batch))
-                lines.write.mode("overwrite").parquet(_batch_folder(f"{root}/{name}", batch_id))
+                lines.write.mode("overwrite").parquet(batch_folder(f"{root}/{name}", batch_id))
         finally:
             batch.unpersist()
 

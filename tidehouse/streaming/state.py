@@ -6,15 +6,20 @@ Spark's own stateful operators (deduplication, windows, stream joins).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# The processors travel to the executors by value, so these need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DAY_STATE = T.StructType([T.StructField("day", T.DateType())])
 
 
