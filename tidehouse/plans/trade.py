@@ -33,6 +33,10 @@ WIDE_COLUMNS = [
     "coupon_create_time", "dic_name", "ts",
 ]
 # --- end of fixed values ---
+OFFER_COLUMNS = {
+    "activity_id", "activity_rule_id", "activity_create_time", "coupon_id", "coupon_use_id",
+    "coupon_create_time",
+}
 
 
 def cart_additions(changes: DataFrame) -> DataFrame:
@@ -108,6 +112,7 @@ def order_detail_wide(
     dictionary: DataFrame,
     version: Sequence[str] = DETAIL_VERSION,
     headers: DataFrame | None = None,
+    offers: bool = True,
 ) -> DataFrame:
     """Order lines with header, activity, coupon and source name; one row per header change.
 
@@ -115,23 +120,25 @@ def order_detail_wide(
     repeats on either side of these joins, and all three are already laid out by order line: the
     left joins need no shuffle of their own. The source name comes by broadcast before the one
     remaining shuffle, on order_id, in which the lines of a hot order are cut into parts.
+    ``offers=False`` leaves the activity and coupon columns, and their two joins, out.
     """
     line = ["order_detail_id"]
-    details = newest_per_key(order_details(changes), line, version)
-    activities = newest_per_key(
-        order_activities(changes), line, ["activity_ts", "activity_id", "activity_rule_id"]
-    )
-    coupons = newest_per_key(
-        order_coupons(changes), line, ["coupon_ts", "coupon_id", "coupon_use_id"]
-    )
-    lines = details.drop("ts").join(activities, line, "left").join(coupons, line, "left")
+    lines = newest_per_key(order_details(changes), line, version).drop("ts")
+    if offers:
+        activities = newest_per_key(
+            order_activities(changes), line, ["activity_ts", "activity_id", "activity_rule_id"]
+        )
+        coupons = newest_per_key(
+            order_coupons(changes), line, ["coupon_ts", "coupon_id", "coupon_use_id"]
+        )
+        lines = lines.join(activities, line, "left").join(coupons, line, "left")
     named = lookup(lines, code_names(dictionary, "source_type", "dic_name"), ["source_type"],
                    line, "inner")
     headers = order_headers(changes) if headers is None else headers
     headers = headers.withColumnRenamed("header_ts", "ts")
     return spread_join(
         named, headers, ["order_id"], line, "inner", hot_orders(changes)
-    ).select(*WIDE_COLUMNS)
+    ).select(*[c for c in WIDE_COLUMNS if offers or c not in OFFER_COLUMNS])
 
 
 def order_add(wide: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ from tidehouse.sources import samples, topics
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TIE = ["event_id"]
+# Change-log tables that several queries read.
+ORDER_LOG = ("order_info", "payment_info", "comment_info")
+WIDE_LOG = ("order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
 
 
 def query(function: Query) -> Query:
@@ -130,14 +133,15 @@ def cdc_project(spark, sf_dir):
 @query
 def cdc_route_insert(spark, sf_dir):
     """Inserts of one table out of the whole change log."""
-    log = changes_of(samples.change_log(spark, sf_dir, "order_info", "payment_info", "comment_info"), "comment_info", [S.CHANGE_INSERT])
-    return log.select("table", "type", "ts", *values.fields(F.col("data"), S.COMMENT_COLUMNS))
+    log = samples.change_log(spark, sf_dir, *ORDER_LOG)
+    inserts = changes_of(log, "comment_info", [S.CHANGE_INSERT])
+    return inserts.select("table", "type", "ts", *values.fields(F.col("data"), S.COMMENT_COLUMNS))
 
 
 @query
 def cdc_route_upsert(spark, sf_dir):
     """Inserts and updates of the order header."""
-    headers = trade.order_headers(samples.change_log(spark, sf_dir, "order_info", "payment_info", "comment_info"))
+    headers = trade.order_headers(samples.change_log(spark, sf_dir, *ORDER_LOG))
     return headers.select(
         "order_id", "consignee", "total_amount", "order_status", "user_id", "payment_way",
         "operate_time", "province_id", "type", "header_ts",
@@ -306,7 +310,7 @@ def user_jump(spark, sf_dir):
 
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = samples.change_log(spark, sf_dir, "order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
+    log = samples.change_log(spark, sf_dir, *WIDE_LOG)
     return trade.order_detail_wide(log, samples.dictionary(spark, sf_dir))
 
 
@@ -348,7 +352,7 @@ def order_cancel(spark, sf_dir):
 
 @query
 def pay_detail_wide(spark, sf_dir):
-    log = samples.change_log(spark, sf_dir, "order_info", "order_detail", "order_detail_activity", "order_detail_coupon", "payment_info")
+    log = samples.change_log(spark, sf_dir, *WIDE_LOG, "payment_info")
     names = samples.dictionary(spark, sf_dir)
     newest = trade.newest_headers(trade.order_headers(log))
     wide = trade.order_detail_wide(log, names, headers=newest)
@@ -477,7 +481,10 @@ def dim_schema_from_config(spark, sf_dir):
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trade.order_add(_wide(spark, sf_dir))
+    """Placed order lines without the offer columns, which the product queries do not need."""
+    log = samples.change_log(spark, sf_dir, "order_info", "order_detail")
+    names = samples.dictionary(spark, sf_dir)
+    return trade.order_add(trade.order_detail_wide(log, names, offers=False))
 
 
 def _products(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
