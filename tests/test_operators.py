@@ -201,7 +201,7 @@ def test_order_cancel_needs_a_status_change(spark):
 
 
 def test_orders_are_counted_once_per_family(spark):
-    dims = {name: F.lit(None).cast("string").alias(name) for name in metrics.PRODUCT_DIMS}
+    dims = {name: F.lit(None).cast("string").alias(name) for name in metrics.PRODUCT_IDS}
     dims["spu_id"], dims["user_id"] = F.lit("s").alias("spu_id"), F.lit("u").alias("user_id")
     rows = spark.createDataFrame(
         [("o1", "k1", "1.10", at(1)), ("o1", "k2", "2.20", at(2)), ("o2", "k1", "3.30", at(9)),

@@ -20,9 +20,11 @@ from tidehouse.plans.traffic import entry_pages
 
 TRAFFIC_DIMS = ["vc", "ch", "ar", "is_new"]
 TRAFFIC_MEASURES = ["uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"]
-PRODUCT_DIMS = [
-    "trademark_id", "trademark_name", "category1_id", "category1_name", "category2_id",
-    "category2_name", "category3_id", "category3_name", "user_id", "spu_id", "spu_name",
+PRODUCT_IDS = ["trademark_id", "category3_id", "user_id", "spu_id"]
+SPU_COLUMNS = [
+    "stt", "edt", "trademark_id", "trademark_name", "category1_id", "category1_name",
+    "category2_id", "category2_name", "category3_id", "category3_name", "user_id", "spu_id",
+    "spu_name", "sku_id", "order_ct", "order_amount",
 ]
 
 
@@ -147,16 +149,18 @@ def order_lines_for_window(lines: DataFrame) -> DataFrame:
 
 
 def spu_order_window(enriched: DataFrame) -> DataFrame:
-    """Orders and amount per window, user and product family.
+    """Orders and amount per window, user and product family, by ids.
 
     Rows are first added up per order, then per window, so distinct orders are counted without
-    gathering the order ids of a group. Of several skus of a group the smallest id is shown.
+    gathering the order ids of a group. Of several skus of a group the smallest id is shown. Names
+    and upper categories follow from the ids and are joined to the finished groups
+    (``dimensions.with_product_names``), which keeps the shuffled keys short.
     """
     per_order = (
-        enriched.groupBy(F.window("event_ts", "10 seconds").alias("w"), *PRODUCT_DIMS, "order_id")
+        enriched.groupBy(F.window("event_ts", "10 seconds").alias("w"), *PRODUCT_IDS, "order_id")
         .agg(F.sum("amount").alias("amount"), F.min("sku_id").alias("sku_id"))
     )
-    counted = per_order.groupBy("w", *PRODUCT_DIMS).agg(
+    counted = per_order.groupBy("w", *PRODUCT_IDS).agg(
         F.min("sku_id").alias("sku_id"),
         F.count("order_id").alias("order_ct"),
         F.sum("amount").cast("double").alias("order_amount"),
@@ -164,5 +168,5 @@ def spu_order_window(enriched: DataFrame) -> DataFrame:
     return counted.select(
         F.date_format("w.start", S.SECOND_FORMAT).alias("stt"),
         F.date_format("w.end", S.SECOND_FORMAT).alias("edt"),
-        *PRODUCT_DIMS, "sku_id", "order_ct", "order_amount",
+        *PRODUCT_IDS, "sku_id", "order_ct", "order_amount",
     )

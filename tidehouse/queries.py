@@ -487,17 +487,14 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade.order_add(trade.order_detail_wide(log, names, offers=False))
 
 
-def _products(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
-    dims = samples.product_tables(spark, sf_dir)
-    return dimensions.flat_products(**dims), is_small(dims["sku"])
-
-
 @query
 def dim_chain_enrich(spark, sf_dir):
     """Order lines with product family, trademark and category names."""
-    products, small = _products(spark, sf_dir)
+    dims = samples.product_tables(spark, sf_dir)
     lines = _order_lines(spark, sf_dir).select("order_detail_id", "order_id", "user_id", "sku_id")
-    return dimensions.with_product(lines, products, ["order_detail_id"], small)
+    return dimensions.with_product(
+        lines, dimensions.flat_products(**dims), ["order_detail_id"], is_small(dims["sku"])
+    )
 
 
 # --- windows -----------------------------------------------------------------------------------
@@ -584,10 +581,18 @@ def user_register_window(spark, sf_dir):
 @query
 def trade_spu_window(spark, sf_dir):
     """Orders and amounts per ten seconds, user and product family."""
-    products, small = _products(spark, sf_dir)
+    dims = samples.product_tables(spark, sf_dir)
     lines = metrics.order_lines_for_window(_order_lines(spark, sf_dir))
-    enriched = dimensions.with_product(lines, products, ["order_id"], small)
-    return metrics.spu_order_window(enriched)
+    counted = metrics.spu_order_window(dimensions.with_product(lines, dims["sku"], ["order_id"]))
+    return spu_names(counted, dims)
+
+
+def spu_names(counted: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Window rows with the product names of their ids."""
+    levels = dimensions.category_levels(*[dims[f"category{i}"] for i in (3, 2, 1)])
+    return dimensions.with_product_names(
+        counted, dims["spu"], dims["trademark"], levels, ["stt", "user_id"]
+    ).select(*metrics.SPU_COLUMNS)
 
 
 # --- functions -----------------------------------------------------------------------------------

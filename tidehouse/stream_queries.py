@@ -15,9 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidehouse import schemas as S
 from tidehouse.operators import records
-from tidehouse.operators.lookup import is_small
 from tidehouse.plans import actions, dimensions, metrics, trade
-from tidehouse.queries import query
+from tidehouse.queries import query, spu_names
 from tidehouse.session import ROCKSDB, run_dir, settings, state_partitions
 from tidehouse.sources import samples, topics
 from tidehouse.streaming import jobs, sinks
@@ -216,13 +215,13 @@ def stream_user_login(spark, sf_dir):
 def stream_trade_spu(spark, sf_dir):
     """Amounts per window, buyer and product family of cart additions taken as order lines."""
     dims = samples.product_tables(spark, sf_dir)
-    products, small = dimensions.flat_products(**dims), is_small(dims["sku"])
     lines = trade.order_details(samples.order_detail(table_stream(spark, sf_dir, "lineitem")))
     buyers = lines.withColumn("user_id", F.col("source_id"))
     enriched = dimensions.with_product(
-        metrics.order_lines_for_window(buyers), products, ["order_id"], small
+        metrics.order_lines_for_window(buyers), dims["sku"], ["order_id"]
     )
-    return Run(spark, "trade-spu").result(jobs.spu_order_window_stream(enriched))
+    counted = jobs.spu_order_window_stream(enriched)
+    return Run(spark, "trade-spu").result(spu_names(counted, dims))
 
 
 @query
