@@ -468,6 +468,7 @@ TOPIC_ROWS = f"""topics AS (
 ORACLE.update(
     {
         "stream_fix_is_new": ORACLE["fix_is_new"],
+        "stream_fix_is_new_table": ORACLE["fix_is_new"],
         "stream_unique_visitor": _with(PAGES, select="""SELECT DISTINCT mid,
             strftime(pts, '%Y-%m-%d') AS day FROM page_log WHERE last_page_id IS NULL"""),
         "stream_user_jump": _with(FAST_PAGES, JUMPS, SETTLED_JUMPS,

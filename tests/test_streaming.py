@@ -51,6 +51,20 @@ def test_new_visitor_state_survives_a_restart(spark, tmp_path):
     assert got == {0: "1", 1: "0", 2: "0", 3: "1", 4: "0", 5: "1"}
 
 
+def test_new_visitor_table_over_two_deliveries(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", "n int, mid string, ts timestamp, is_new string")
+    out = str(tmp_path / "out")
+    write = jobs.new_visitor_writer(out, str(tmp_path / "days"), ["n"])
+    deliveries = ([(0, "a", at(0), "1"), (1, "a", at(DAY), "1"), (2, "b", at(0), "0")],
+                  [(3, "a", at(5), "1"), (4, "b", at(9), "1"), (5, "c", at(DAY), "1")])
+    for rows in deliveries:
+        feed.add(rows)
+        sinks.each_batch(feed.stream(), write, str(tmp_path / "check")).awaitTermination()
+    got = {r.n: r.is_new for r in spark.read.parquet(out).collect()}
+    assert got == {0: "1", 1: "0", 2: "0", 3: "1", 4: "0", 5: "1"}
+    assert spark.read.parquet(str(tmp_path / "days")).count() == 3
+
+
 def test_last_login_state(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", "uid string, ts timestamp")
     out = tmp_path / "out"

@@ -8,32 +8,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidehouse.operators.keyed import first_per_day, first_per_key
-from tidehouse.operators.lookup import spread_join
+from tidehouse.operators.lookup import ROWS_PER_TASK, spread_join
 
 
-def fix_is_new(
-    logs: DataFrame, ts: str = "ts", tie: Sequence[str] = (), rows_per_task: int = 2_000_000
-) -> DataFrame:
-    """Corrects ``is_new`` from the visitor's first record.
+def new_visitor_days(logs: DataFrame, ts: str = "ts", tie: Sequence[str] = ()) -> DataFrame:
+    """The one day (``new_day``) on which each visitor counts as new.
 
-    A visitor whose first record says new stays new for that day only; one whose first record says
-    known was first seen the day before. The first record alone decides, so it is found with one
-    row per visitor and joined back on (mid, day); a visitor-day with very many rows is cut.
+    It is the day of the first record when that says new, otherwise the day before it.
     """
     day = F.to_date(F.col(ts))
     first = first_per_key(logs.select("mid", "is_new", ts, *tie), ["mid"], [ts, *tie])
     new_day = F.when(F.col("is_new") == "1", day).otherwise(F.date_sub(day, 1))
-    new_days = first.select("mid", new_day.alias("_day"), F.lit(True).alias("_is_new_day"))
+    return first.select("mid", new_day.alias("new_day"))
+
+
+def with_true_flag(
+    logs: DataFrame,
+    new_days: DataFrame,
+    ts: str = "ts",
+    tie: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``is_new`` set to 0 on every day but the visitor's new day; a busy visitor-day is cut."""
+    days = new_days.select("mid", F.col("new_day").alias("_day"), F.lit(True).alias("_known"))
     joined = spread_join(
-        logs.withColumn("_day", day),
-        new_days,
+        logs.withColumn("_day", F.to_date(F.col(ts))),
+        days,
         on=["mid", "_day"],
         spread_by=[ts, *tie],
         rows_per_task=rows_per_task,
     )
-    wrong = (F.col("is_new") == "1") & F.col("_is_new_day").isNull()
+    wrong = (F.col("is_new") == "1") & F.col("_known").isNull()
     fixed = F.when(wrong, F.lit("0")).otherwise(F.col("is_new"))
-    return joined.withColumn("is_new", fixed).drop("_day", "_is_new_day")
+    return joined.withColumn("is_new", fixed).select(*logs.columns)
+
+
+def fix_is_new(
+    logs: DataFrame,
+    ts: str = "ts",
+    tie: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Corrects ``is_new`` from the visitor's first record.
+
+    The first record alone decides, so it is found with one row per visitor and joined back on
+    (mid, day); no visitor's history is ordered in one task.
+    """
+    return with_true_flag(logs, new_visitor_days(logs, ts, tie), ts, tie, rows_per_task)
 
 
 def logins(

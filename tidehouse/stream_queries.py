@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidehouse import schemas as S
 from tidehouse.operators import records
 from tidehouse.plans import actions, dimensions, metrics, trade
-from tidehouse.queries import query, spu_names
+from tidehouse.queries import TIE, query, spu_names
 from tidehouse.session import ROCKSDB, run_dir, settings, state_partitions
 from tidehouse.sources import samples, topics
 from tidehouse.streaming import jobs, sinks
@@ -65,7 +65,7 @@ class Run:
     def jumps(self, pages: DataFrame) -> None:
         self.each(
             pages, "jumps",
-            jobs.user_jumps_writer(self.path("jumps"), self.path("pending"), ["event_id"]),
+            jobs.user_jumps_writer(self.path("jumps"), self.path("pending"), TIE),
         )
 
     def read(self, name: str) -> DataFrame:
@@ -90,6 +90,15 @@ def stream_fix_is_new(spark, sf_dir):
     return out.withColumn("ts", F.unix_millis("ts"))
 
 
+@query
+def stream_fix_is_new_table(spark, sf_dir):
+    """Corrected new-visitor flags with the new days in a table, for very busy visitors."""
+    run = Run(spark, "fix-is-new-table")
+    pages = pages_stream(spark, sf_dir).select("event_id", "mid", "page_id", "is_new", "ts")
+    run.each(pages, "fixed", jobs.new_visitor_writer(run.path("fixed"), run.path("days"), TIE))
+    return run.read("fixed").drop("batch").withColumn("ts", F.unix_millis("ts"))
+
+
 @query
 def stream_unique_visitor(spark, sf_dir):
     """Visitors of each day; a busy visitor is deduplicated in eight parts first."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidehouse import schemas as S
 from tidehouse.operators.intervals import SECOND, bounced_entries
 from tidehouse.operators.lookup import code_names, lookup
+from tidehouse.operators.visits import new_visitor_days, with_true_flag
 from tidehouse.plans import metrics, traffic, trade
 from tidehouse.streaming import sinks
 from tidehouse.streaming.state import first_of_day_stream, logins_stream
@@ -73,6 +74,32 @@ def user_jumps_writer(
     return write
 
 
+def new_visitor_writer(out: str, known: str, tie: Sequence[str] = ()) -> sinks.BatchWriter:
+    """Corrected new-visitor flags per micro-batch, with the new days in a table.
+
+    The other form, ``state.fix_is_new_stream``, keeps them as keyed state: quicker for small
+    micro-batches, but all rows of a visitor pass one task. Here a busy visitor is cut as on
+    tables, at the price of reading the table of new days once per micro-batch; it suits
+    backfills and long triggers.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, rows = batch.sparkSession, batch.persist()
+        try:
+            fresh = new_visitor_days(rows, "ts", tie)
+            if batch_id > 0:
+                earlier = spark.read.parquet(known).filter(F.col("batch") < batch_id)
+                fresh = fresh.join(earlier.select("mid"), ["mid"], "left_anti")
+            fresh.write.mode("overwrite").parquet(sinks.batch_folder(known, batch_id))
+            days = spark.read.parquet(known).filter(F.col("batch") <= batch_id).drop("batch")
+            fixed = with_true_flag(rows, days, "ts", tie)
+            fixed.write.mode("overwrite").parquet(sinks.batch_folder(out, batch_id))
+        finally:
+            rows.unpersist()
+
+    return write
+
+
 def page_view_window_stream(
     pages: DataFrame, visitors: DataFrame, jumps: DataFrame, delay: str = TRAFFIC_DELAY
 ) -> DataFrame:
