@@ -18,16 +18,20 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def hot_keys(
+    facts: DataFrame, on: Sequence[str], rows_per_task: int | None = None
+) -> DataFrame:
     """Keys with more rows than one task should take, and the number of parts to cut them into.
 
-    At most ``rows of facts / rows_per_task`` keys can pass, which bounds the broadcast.
+    At most ``rows of facts / rows_per_task`` keys can pass, which bounds the broadcast; without a
+    value ``ROWS_PER_TASK`` counts.
     """
-    parts = F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int")
+    limit = rows_per_task or ROWS_PER_TASK
+    parts = F.ceil(F.col("_n") / F.lit(limit)).cast("int")
     return (
         facts.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > rows_per_task)
+        .filter(F.col("_n") > limit)
         .select(*on, parts.alias("_parts"))
     )
 
@@ -39,7 +43,7 @@ def spread_join(
     spread_by: Sequence[str],
     how: str = "left",
     hot: DataFrame | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Shuffle join (inner or left) in which a hot key of ``facts`` is cut into parts.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidehouse.operators.keyed import first_per_day, first_per_key
-from tidehouse.operators.lookup import ROWS_PER_TASK, spread_join
+from tidehouse.operators.lookup import spread_join
 
 
 def new_visitor_days(logs: DataFrame, ts: str = "ts", tie: Sequence[str] = ()) -> DataFrame:
@@ -27,7 +27,7 @@ def with_true_flag(
     new_days: DataFrame,
     ts: str = "ts",
     tie: Sequence[str] = (),
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """``is_new`` set to 0 on every day but the visitor's new day; a busy visitor-day is cut."""
     days = new_days.select("mid", F.col("new_day").alias("_day"), F.lit(True).alias("_known"))
@@ -47,7 +47,7 @@ def fix_is_new(
     logs: DataFrame,
     ts: str = "ts",
     tie: Sequence[str] = (),
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Corrects ``is_new`` from the visitor's first record.
 
