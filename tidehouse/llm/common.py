@@ -100,10 +100,10 @@ def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return out ^ (out >> np.uint64(29)) ^ sizes.astype(np.uint64)
 
 
-def distinct_spans(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position of one span of each distinct word, for each span the number of its distinct word)."""
-    _, first, inverse = np.unique(span_hashes(buffer, starts, ends), return_index=True, return_inverse=True)
-    return first, inverse.reshape(-1)
+def distinct_spans(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, with_hashes: bool = False) -> tuple:
+    """(position of one span of each distinct word, for each span the number of its distinct word[, their hashes])."""
+    hashes, first, inverse = np.unique(span_hashes(buffer, starts, ends), return_index=True, return_inverse=True)
+    return (first, inverse.reshape(-1), hashes) if with_hashes else (first, inverse.reshape(-1))
 
 
 def sums_by_doc(values: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:

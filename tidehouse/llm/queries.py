@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import block_naming
-from .common import table
+from . import block_naming, language_id, simhash
+from .common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,8 +20,25 @@ def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 64-bit fingerprints differ in at most two bits."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those with a remainder other than 1."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket("doc_id", 3) == 1
+    model = language_id.learn(docs.filter(~held_out))
+    out = language_id.languages(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op8_block_naming": op8_block_naming,
+    "op9_simhash_anchors": op9_simhash_anchors,
+    "op10_ppm_language": op10_ppm_language,
 }
 
 ORACLE: dict[str, str] = {
