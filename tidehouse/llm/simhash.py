@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, text_bytes, text_chunks, written
@@ -62,17 +62,17 @@ def fingerprint(text: bytes, width: int, seeds: tuple[int, ...]) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
-    """(doc_id, f0, f1, ...) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, tie, f0, f1, ...) of every row of ``docs`` (doc_id, text); ``tie`` is a hash of the text."""
     names = [f"f{k}" for k in range(len(seeds))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
             rows = [fingerprint(x, width, seeds) for x in text_bytes(batch["text"])]
             words = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(seeds))]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *words], names=["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tie"], *words], names=["doc_id", "tie", *names])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, ", ".join(["doc_id long", *(f"{n} long" for n in names)]))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, ", ".join(["doc_id long", "tie long", *(f"{n} long" for n in names)]))
 
 
 @functools.cache
@@ -144,6 +144,7 @@ def _spread(tables: tuple[Fields, ...], reach: int, n_words: int):
 def joined_up(ids: np.ndarray, words: list[np.ndarray], residents: int, max_bits: int) -> np.ndarray:
     """For each row of an anchor the smallest id it is connected to there; the first rows are the residents."""
     label = ids.copy()
+    words = [w.view(np.uint64) for w in words]  # of signed numbers the absolute value's bits would count
     for k in range(residents):
         differing = sum(np.bitwise_count(w ^ w[k]) for w in words)
         near = np.flatnonzero(differing <= max_bits)
@@ -206,7 +207,7 @@ def near_duplicates(
     docs: DataFrame, width: int = 3, seeds: tuple[int, ...] = (42,), tables: tuple[Fields, ...] = PAIR_TABLE,
     reach: int = 2, max_bits: int = 2,
 ) -> DataFrame:
-    """(doc_id, f0, ..., component_id) of every row; the component is the smallest doc_id reachable over links.
+    """(doc_id, tie, f0, ..., component_id) of every row; the component is the smallest doc_id reachable over links.
 
     A component of null ids alone has a null component_id.
     """
@@ -219,3 +220,19 @@ def near_duplicates(
     labels = labels.select(F.col("node").alias("id"), "component")
     of = one.join(labels, "id", "left").select(*words, F.coalesce("component", "id").alias("component_id"))
     return prints.join(of, words)
+
+
+def without_near_duplicates(
+    docs: DataFrame, width: int, seeds: tuple[int, ...], tables: tuple[Fields, ...], max_bits: int, reach: int = 2
+) -> DataFrame:
+    """Of each group the document with the smallest doc_id, with all columns of ``docs``.
+
+    Different texts of one id that are not near each other but near nothing smaller are one group too; of these, and of
+    repeated rows, the one with the smallest text hash stays. Null ids all stay.
+    """
+    groups = near_duplicates(docs, width, seeds, tables, reach, max_bits)
+    stay = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("tie").alias("_tie"))
+    stay = stay.withColumnRenamed("doc_id", "_stay")
+    same = (docs["doc_id"].cast("long") == F.col("_stay")) & (F.xxhash64(docs["text"]) == F.col("_tie"))
+    rows = docs.join(stay, same, "left_semi").withColumn("_at", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+    return rows.filter("_at = 1").select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
