@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, language_id, simhash
+from . import attention_lm, block_naming, language_id, license_scan, line_dedup, mixing, packing, piecewise_hash, simhash, toxicity
 from .common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,62 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
 
+#: Target weights of the domains (the labels' quality).
+MIX = {"high": 0.9, "low": 0.1}
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled table."""
+    return labels.select("doc_id", F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").alias("domain"))
+
+
+def op1_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 2048 ids, filled by lexical neighbours."""
+    out = packing.pack(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later occurrences of three-line windows."""
+    out = line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.col("_lines").alias("lines"), F.col("_lines_removed").alias("lines_removed"))
+
+
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of all documents, learned from those with a remainder other than 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = attention_lm.scored(docs.withColumn("train", id_bucket("doc_id", 10) != 0), "train")
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op4_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels of those with a remainder other than 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_bucket("doc_id", 4) == 2
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.learn(docs.filter(~held_out).join(labels, "doc_id"))
+    out = toxicity.scored(docs, model)
+    score = F.col("toxicity")
+    return out.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template matches of all documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op6_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    return piecewise_hash.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate of every document in a mix of nine parts of high and one part of low quality."""
+    out = mixing.rates(table(spark, sf_dir, "documents"), domains(table(spark, sf_dir, "labels")), MIX)
+    posterior = [F.coalesce(F.col("p")[k], F.lit(0.0)).alias(f"p_{name}") for k, name in enumerate(MIX)]
+    return out.select("doc_id", "n_words", *posterior, "rate")
+
+
 def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents."""
     return block_naming.exact_duplicates(table(spark, sf_dir, "documents"))
@@ -36,6 +92,13 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bm25_packing": op1_bm25_packing,
+    "op2_line_windows": op2_line_windows,
+    "op3_attention_lm": op3_attention_lm,
+    "op4_toxic_lexicon": op4_toxic_lexicon,
+    "op5_license_join": op5_license_join,
+    "op6_piecewise_hash": op6_piecewise_hash,
+    "op7_soft_mixing": op7_soft_mixing,
     "op8_block_naming": op8_block_naming,
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_ppm_language": op10_ppm_language,
