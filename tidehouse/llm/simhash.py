@@ -38,37 +38,47 @@ PAIR_TABLE: tuple[Fields, ...] = (((0, 0), (0, 23)),)
 FOUR_TABLES: tuple[Fields, ...] = (((0, 0),), ((0, 23),), ((1, 0),), ((1, 23),))
 
 
-def fingerprint(text: bytes, width: int, seeds: tuple[int, ...]) -> list[int]:
+def _mixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Further hashes of the same shingles."""
+    x = hashes + np.uint64(number * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: bytes, width: int, n_words: int = 1, seed: int = 42) -> list[int]:
+    """64-bit numbers as signed integers; the first from XXH64 itself, the others from hashes derived from it."""
     words = text.lower().split()
     if not words:
-        return [0] * len(seeds)
+        return [0] * n_words
     plain = b" ".join(words)
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
     starts = np.concatenate(([0], np.cumsum(sizes)))
     width = min(width, len(words))
-    spans = list(map(slice, starts[: len(words) - width + 1].tolist(), (starts[width:] - 1).tolist()))
-    shingles = [plain[s] for s in spans]
+    digest = xxhash.xxh64_intdigest
+    spans = zip(starts[: len(words) - width + 1].tolist(), (starts[width:] - 1).tolist())
+    hashes = np.array([digest(plain[i:j], seed) for i, j in spans], dtype=np.uint64)
     out = []
-    for seed in seeds:
+    for number in range(n_words):
         ones = np.zeros(64, dtype=np.int64)
-        digest = xxhash.xxh64_intdigest
-        hashes = np.array([digest(s, seed) for s in shingles], dtype=np.uint64)
         for at in range(0, len(hashes), 4096):
-            bits = np.unpackbits(hashes[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            some = hashes[at : at + 4096]
+            some = _mixed(some, number) if number else some
+            bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             ones += bits.sum(axis=0, dtype=np.int64)
         set_bits = (2 * ones > len(hashes)).astype(np.uint8)
         out.append(int(np.packbits(set_bits, bitorder="little").view(np.int64)[0]))
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = 3, n_words: int = 1) -> DataFrame:
     """(doc_id, tie, f0, f1, ...) of every row of ``docs`` (doc_id, text); ``tie`` is a hash of the text."""
-    names = [f"f{k}" for k in range(len(seeds))]
+    names = [f"f{k}" for k in range(n_words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
-            rows = [fingerprint(x, width, seeds) for x in text_bytes(batch["text"])]
-            words = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(seeds))]
+            rows = [fingerprint(x, width, n_words) for x in text_bytes(batch["text"])]
+            words = [pa.array([r[k] for r in rows], pa.int64()) for k in range(n_words)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tie"], *words], names=["doc_id", "tie", *names])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
@@ -204,15 +214,15 @@ def near_links(prints: DataFrame, tables: tuple[Fields, ...], reach: int, max_bi
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 3, seeds: tuple[int, ...] = (42,), tables: tuple[Fields, ...] = PAIR_TABLE,
+    docs: DataFrame, width: int = 3, n_words: int = 1, tables: tuple[Fields, ...] = PAIR_TABLE,
     reach: int = 2, max_bits: int = 2,
 ) -> DataFrame:
     """(doc_id, tie, f0, ..., component_id) of every row; the component is the smallest doc_id reachable over links.
 
     A component of null ids alone has a null component_id.
     """
-    prints = written(fingerprints(docs, width, seeds), "prints")
-    words = [f"f{k}" for k in range(len(seeds))]
+    prints = written(fingerprints(docs, width, n_words), "prints")
+    words = [f"f{k}" for k in range(n_words)]
     one = prints.groupBy(*words).agg(F.min("doc_id").alias("id")).select("id", *words)
     one = written(one, "distinct-prints")
     known = one.filter("id IS NOT NULL")
@@ -223,14 +233,14 @@ def near_duplicates(
 
 
 def without_near_duplicates(
-    docs: DataFrame, width: int, seeds: tuple[int, ...], tables: tuple[Fields, ...], max_bits: int, reach: int = 2
+    docs: DataFrame, width: int, n_words: int, tables: tuple[Fields, ...], max_bits: int, reach: int = 2
 ) -> DataFrame:
     """Of each group the document with the smallest doc_id, with all columns of ``docs``.
 
     Different texts of one id that are not near each other but near nothing smaller are one group too; of these, and of
     repeated rows, the one with the smallest text hash stays. Null ids all stay.
     """
-    groups = near_duplicates(docs, width, seeds, tables, reach, max_bits)
+    groups = near_duplicates(docs, width, n_words, tables, reach, max_bits)
     stay = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("tie").alias("_tie"))
     stay = stay.withColumnRenamed("doc_id", "_stay")
     same = (docs["doc_id"].cast("long") == F.col("_stay")) & (F.xxhash64(docs["text"]) == F.col("_tie"))
