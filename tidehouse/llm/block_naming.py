@@ -6,7 +6,8 @@ by level; a document leaves when one integer is left, and (level, integer) is eq
 texts are. Contents are compared, not only hashes: the hash merely orders the sort, so its sampled bounds stay small.
 
 Hot contents: the sort orders by (hash, row), so copies of one block spread over as many partitions as they need. Contents that
-touch a partition's edge, at most a few for each partition, are given their smallest name afterwards.
+touch a partition's edge, at most a few for each partition, take the name they have in the earliest one; only rows at the
+beginning of a partition can need that, and only they are joined.
 Rows with null ids and repeated rows are documents of their own. An empty table gives an empty result.
 """
 
@@ -19,14 +20,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions, text_bytes, text_chunks, written
 
 _CARRIED = "row long, doc_id long, sha string, pos long, last long"
 _BLOCKS = f"{_CARRIED}, hash long, content binary"
-_NAMED = f"{_CARRIED}, part long, rank long, content binary"
+_NAMED = f"{_CARRIED}, part long, rank long, edge boolean, content binary"
 
 
 def _cut(block_bytes: int):
@@ -50,7 +51,7 @@ def _cut(block_bytes: int):
 
 def _batch(columns: list, schema: str) -> pa.RecordBatch:
     """Arrow columns, or lists, under the names and types of a Spark schema."""
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
     fields = [x.split() for x in schema.split(", ")]
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields)]
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
@@ -69,7 +70,7 @@ def _rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     rank, now, known, first = -1, None, {}, True
     for batch in batches:
-        ranks, edges = [], []
+        ranks, at_edge, edges = [], [], []
         for value, content in zip(batch["hash"].to_pylist(), batch["content"].to_pylist()):
             if value != now or not known:
                 if first and known:
@@ -80,16 +81,17 @@ def _rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rank += 1
                 known[content] = rank
             ranks.append(known[content])
+            at_edge.append(first)
         n = batch.num_rows
         carried = [batch[x.split()[0]] for x in _CARRIED.split(", ")]
-        yield _batch([*carried, [part] * n, ranks, [None] * n], _NAMED)
+        yield _batch([*carried, [part] * n, ranks, at_edge, [None] * n], _NAMED)
         yield _edges(part, edges)
     yield _edges(part, list(known.items()))
 
 
 def _edges(part: int, contents: list) -> pa.RecordBatch:
     n = len(contents)
-    return _batch([[None] * n] * 5 + [[part] * n, [r for _, r in contents], [c for c, _ in contents]], _NAMED)
+    return _batch([[None] * n] * 5 + [[part] * n, [r for _, r in contents], [True] * n, [c for c, _ in contents]], _NAMED)
 
 
 def _names(blocks: DataFrame, label: str) -> DataFrame:
@@ -100,10 +102,16 @@ def _names(blocks: DataFrame, label: str) -> DataFrame:
     edges = ranked.filter("content IS NOT NULL").select("part", "rank", "content")
     smallest = edges.groupBy("content").agg(F.min(F.struct("part", "rank")).alias("to"))
     renamed = edges.join(smallest, "content").select("part", "rank", "to").filter("to.part <> part OR to.rank <> rank")
-    rows = ranked.filter("content IS NULL").drop("content").join(renamed, ["part", "rank"], "left")
     # 2^40 contents for each partition of a sort.
-    name = F.coalesce(F.col("to.part"), F.col("part")) * F.lit(1 << 40) + F.coalesce(F.col("to.rank"), F.col("rank"))
-    return rows.select("row", "doc_id", "sha", "pos", "last", name.alias("name"))
+    carried = [x.split()[0] for x in _CARRIED.split(", ")]
+    rows = ranked.filter("content IS NULL")
+    inner = rows.filter("NOT edge").select(*carried, _name(F.col("part"), F.col("rank")))
+    edge = rows.filter("edge").join(renamed, ["part", "rank"], "left")
+    return inner.unionByName(edge.select(*carried, _name(F.coalesce("to.part", "part"), F.coalesce("to.rank", "rank"))))
+
+
+def _name(part: Column, rank: Column) -> Column:
+    return (part * F.lit(1 << 40) + rank).alias("name")
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +142,7 @@ def identities(docs: DataFrame, block_bytes: int = 2048) -> DataFrame:
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("right"),
         )
         pairs = pairs.select("row", "doc_id", "sha", "pos", "last", "left", "right")
-        named = _names(pairs.mapInArrow(_pairs, _BLOCKS), "names")
+        named = _names(written(pairs.mapInArrow(_pairs, _BLOCKS), "pairs"), "names")
 
 
 def exact_duplicates(docs: DataFrame, block_bytes: int = 2048) -> DataFrame:
