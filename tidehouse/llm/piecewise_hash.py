@@ -152,9 +152,8 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     first = made.filter(f"kind = {_FIRST}").select(F.col("part").alias("next_part"), F.col("text").alias("following"), F.col("fingerprint").alias("its"))
     last = made.filter(f"kind = {_LAST}").select("part", "doc_id", "text", F.col("fingerprint").alias("own"))
     # One row for each partition of the sort.
-    parts = last.select("part").withColumn("next_part", F.lead("part").over(Window.orderBy("part")))
-    start = last.agg(F.min("part").alias("start"))
-    parts = parts.join(start, F.lit(True)).select("part", F.coalesce("next_part", "start").alias("next_part"))
+    after = F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy(F.lit(0))))
+    parts = last.select("part", after.alias("next_part"))
     ends = last.join(parts, "part").join(first, "next_part").select("doc_id", "text", "own", "following", "its")
     whole = made.filter(f"kind = {_ROW}").unionByName(ends.mapInArrow(_finish, _SCHEMA))
     return whole.select(
