@@ -47,7 +47,9 @@ def learn(rows: DataFrame, per_language: int = 2000, max_grams: int = 200_000) -
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = rows.select("doc_id", "lang").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= per_language)
-    sample = rows.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi").select("text", "lang")
+    # At most ``per_language`` ids of each language.
+    chosen = F.broadcast(chosen.select("doc_id", "lang").distinct())
+    sample = rows.join(chosen, ["doc_id", "lang"], "left_semi").select("text", "lang")
     counts = sample.mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     counts = counts.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= max_grams)
