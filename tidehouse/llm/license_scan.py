@@ -84,10 +84,15 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     vocabulary = F.array(*(F.lit(w) for w in sorted({w for *_, ws, _ in rows for w in ws})))
     least = min(need for *_, need in rows)
     text = lowered(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    # The one-element explode computes text and words once for each row; elsewhere they would be computed for each use.
+    parts = F.struct(text.alias("text"), words(text).alias("words"))
+    rows_of = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.explode(F.array(parts)).alias("own"))
+    text, all_words = F.col("own.text"), F.col("own.words")
 
     lines = F.split(text, "\n")
     sets = F.transform(lines, lambda line: F.array_intersect(words(line), vocabulary))
-    counts = docs.select(F.explode(sets).alias("set")).select(F.explode("set").alias("word"))
+    lowercase = docs.select(F.explode(F.array(F.struct(lowered(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text")))).alias("own"))
+    counts = lowercase.select(F.explode(sets).alias("set")).select(F.explode("set").alias("word"))
     # At most one row for each word of the templates.
     counts = counts.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     rank = {w: k for k, (w, n) in enumerate(sorted(((r[0], r[1]) for r in counts.collect()), key=lambda x: (x[1], x[0])))}
@@ -98,11 +103,10 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
         T.StructType.fromDDL("word string, template int, label string, words array<string>, need int, at int"),
     )
 
-    all_words = words(text)
     # Few documents have any phrase: the word-by-word search runs behind a search of the text.
     gates = {phrase: text.rlike(SEPARATORS.join(phrase.split())) for phrase in BASE}
-    base = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id"),
+    base = rows_of.select(
+        "row", "doc_id",
         F.size(all_words).cast("long").alias("n_words"),
         F.create_map(*(x for phrase, label in BASE.items() for x in (F.lit(label), F.when(gates[phrase], places(all_words, phrase)).otherwise(F.array().cast("array<int>"))))).alias("places"),
         F.filter(
