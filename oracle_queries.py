@@ -551,3 +551,26 @@ ORACLE.update(
             WHERE us // 1000 + 86400000 > {LAST_PAGE} // 1000 - 86400000"""),
     }
 )
+
+# Streams from the change log on have the tables' answers.
+ORACLE.update(
+    {
+        "stream_unique_visitor_first": _with(PAGES, VISITORS, select="""SELECT mid, event_id,
+            strftime(pts, '%Y-%m-%d') AS day FROM uv"""),
+        "stream_order_detail": ORACLE["order_detail_wide"],
+        "stream_order_add": ORACLE["order_add"],
+        "stream_order_cancel": ORACLE["order_cancel"],
+        "stream_pay_detail": ORACLE["pay_detail_wide"],
+        "stream_order_refund": ORACLE["order_refund_wide"],
+        "stream_refund_pay": ORACLE["refund_pay_wide"],
+        "stream_trade_spu_window": ORACLE["trade_spu_window"],
+        "stream_cart_uu_window": ORACLE["cart_uu_window"],
+        "fn_proc_time": "SELECT o_orderkey, true AS same_second, true AS same_milli FROM orders",
+        "fact_join_left": """SELECT c_custkey, o_orderkey, c_name AS name, o_orderstatus AS status
+            FROM customer LEFT JOIN orders ON o_custkey = c_custkey""",
+        "fact_join_full": """SELECT c_custkey, o_orderkey, c_name AS name, o_orderstatus AS status
+            FROM customer FULL JOIN orders ON o_custkey = c_custkey""",
+        "newest_by_arrival": """SELECT o_custkey AS order_id, max(o_orderkey) AS last
+            FROM orders GROUP BY ALL""",
+    }
+)

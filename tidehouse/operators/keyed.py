@@ -18,8 +18,15 @@ def _top_row(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column
 def newest_per_key(
     df: DataFrame, keys: Sequence[str | Column], version: Sequence[str]
 ) -> DataFrame:
-    """The row with the largest ``version`` columns of every key."""
-    return _top_row(df, keys, [F.col(c).desc_nulls_last() for c in version])
+    """The row with the largest ``version`` columns of every key.
+
+    Where the rows carry ``seq``, the order of arrival, it decides between rows that are equal in
+    the first version column, before the others do.
+    """
+    order = list(version)
+    if "seq" in df.columns and order and "seq" not in order:
+        order.insert(1, "seq")
+    return _top_row(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
 def first_per_key(

@@ -7,15 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension row is well below 1 KB, so a broadcast stays below about 100 MB.
+# Files behind a dimension that is broadcast; a few times as much in memory.
+MAX_BROADCAST_BYTES = 24 << 20
+# Where the size of a source is unknown, this many rows count instead.
 MAX_BROADCAST_ROWS = 100_000
 # A join task should not see more rows of one key than this.
 ROWS_PER_TASK = 2_000_000
+_UNKNOWN = 1 << 60
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of all sources a table is made of, as the planner knows them; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts a static table (a map-side combined count, metadata only for plain parquet)."""
-    return df.count() <= max_rows
+    """Whether a static table may be broadcast: by the bytes of its sources, or counted if unknown."""
+    size = source_bytes(df)
+    return size <= MAX_BROADCAST_BYTES if size < _UNKNOWN else df.count() <= max_rows
 
 
 def hot_keys(

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tidehouse.functions.times import from_epoch_ms
 
 BROKEN = "_broken"
+SEQUENCE = "seq"
 
 
 def with_parsed(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -32,9 +33,10 @@ def not_empty(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def clean_records(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Parsed fields of the well-formed lines."""
+    """Parsed fields of the well-formed lines, and their ``seq`` where the source gave one."""
+    kept = [SEQUENCE] if SEQUENCE in lines.columns else []
     good = with_parsed(not_empty(lines, value), schema, value).filter(~F.col("is_dirty"))
-    return good.select(*[F.col(f"record.{name}").alias(name) for name in schema.names])
+    return good.select(*[F.col(f"record.{name}").alias(name) for name in schema.names], *kept)
 
 
 def dirty_lines(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

@@ -65,6 +65,14 @@ def dimension_schema(sink_columns: str, sink_pk: str | None = None) -> T.StructT
     )
 
 
+def configured_schema(config: DataFrame, sink_table: str) -> T.StructType:
+    """Schema of a target from its configuration row (one row per target reaches the driver)."""
+    row = config.filter(F.col("sink_table") == sink_table).select("sink_columns", "sink_pk").first()
+    if row is None:
+        raise ValueError(f"no configuration for {sink_table}")
+    return dimension_schema(row.sink_columns, row.sink_pk)
+
+
 def dimension_table(rows: DataFrame, sink_table: str, schema: T.StructType) -> DataFrame:
     """One target table as typed columns."""
     mine = rows.filter(F.col("sink_table") == sink_table)

@@ -18,6 +18,7 @@ from tidehouse.operators.visits import logins
 from tidehouse.operators.windows import tumble, tumble_sums
 from tidehouse.plans.traffic import entry_pages
 
+# --- fixed values: columns of the window tables ---
 TRAFFIC_DIMS = ["vc", "ch", "ar", "is_new"]
 TRAFFIC_MEASURES = ["uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"]
 PRODUCT_IDS = ["trademark_id", "category3_id", "user_id", "spu_id"]
@@ -26,6 +27,7 @@ SPU_COLUMNS = [
     "category2_id", "category2_name", "category3_id", "category3_name", "user_id", "spu_id",
     "spu_name", "sku_id", "order_ct", "order_amount",
 ]
+# --- end of fixed values ---
 
 
 def _traffic_rows(rows: DataFrame, **counters: Column) -> DataFrame:

@@ -39,6 +39,11 @@ OFFER_COLUMNS = {
 }
 
 
+def arrival(changes: DataFrame) -> list[str]:
+    """The sequence column, where the source gave one."""
+    return ["seq"] if "seq" in changes.columns else []
+
+
 def cart_additions(changes: DataFrame) -> DataFrame:
     """Cart inserts and raised quantities, with the added quantity as ``sku_num``."""
     rows = changes_of(changes, "cart_info").filter(increased("sku_num"))
@@ -65,6 +70,7 @@ def order_details(changes: DataFrame) -> DataFrame:
         *[data[c].alias(own.get(c, c)) for c in S.ORDER_DETAIL_COLUMNS],
         amount(data["sku_num"], data["order_price"]).alias("split_original_amount"),
         "ts",
+        *arrival(changes),
     )
 
 
@@ -77,6 +83,7 @@ def order_headers(changes: DataFrame) -> DataFrame:
         "type",
         "old",
         F.col("ts").alias("header_ts"),
+        *arrival(changes),
     )
 
 
@@ -86,6 +93,7 @@ def order_activities(changes: DataFrame) -> DataFrame:
         *fields(data, ["order_detail_id", "activity_id", "activity_rule_id"]),
         data["create_time"].alias("activity_create_time"),
         F.col("ts").alias("activity_ts"),
+        *arrival(changes),
     )
 
 
@@ -95,6 +103,7 @@ def order_coupons(changes: DataFrame) -> DataFrame:
         *fields(data, ["order_detail_id", "coupon_id", "coupon_use_id"]),
         data["create_time"].alias("coupon_create_time"),
         F.col("ts").alias("coupon_ts"),
+        *arrival(changes),
     )
 
 
@@ -123,19 +132,19 @@ def order_detail_wide(
     ``offers=False`` leaves the activity and coupon columns, and their two joins, out.
     """
     line = ["order_detail_id"]
-    lines = newest_per_key(order_details(changes), line, version).drop("ts")
+    lines = newest_per_key(order_details(changes), line, version).drop("ts", "seq")
     if offers:
         activities = newest_per_key(
             order_activities(changes), line, ["activity_ts", "activity_id", "activity_rule_id"]
-        )
+        ).drop("seq")
         coupons = newest_per_key(
             order_coupons(changes), line, ["coupon_ts", "coupon_id", "coupon_use_id"]
-        )
+        ).drop("seq")
         lines = lines.join(activities, line, "left").join(coupons, line, "left")
     named = lookup(lines, code_names(dictionary, "source_type", "dic_name"), ["source_type"],
                    line, "inner")
     headers = order_headers(changes) if headers is None else headers
-    headers = headers.withColumnRenamed("header_ts", "ts")
+    headers = headers.withColumnRenamed("header_ts", "ts").drop("seq")
     return spread_join(
         named, headers, ["order_id"], line, "inner", hot_orders(changes)
     ).select(*[c for c in WIDE_COLUMNS if offers or c not in OFFER_COLUMNS])
@@ -180,9 +189,15 @@ def pay_detail(changes: DataFrame, newest_wide: DataFrame, dictionary: DataFrame
     )
 
 
+def pay_detail_of(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Paid order lines of a change log, with the newest version of each order."""
+    newest = newest_headers(order_headers(changes))
+    return pay_detail(changes, order_detail_wide(changes, dictionary, headers=newest), dictionary)
+
+
 def order_refunds(changes: DataFrame) -> DataFrame:
     return changes_of(changes, "order_refund_info", [S.CHANGE_INSERT]).select(
-        *fields(F.col("data"), S.ORDER_REFUND_COLUMNS), "ts"
+        *fields(F.col("data"), S.ORDER_REFUND_COLUMNS), "ts", *arrival(changes)
     )
 
 
@@ -194,9 +209,9 @@ def refunding_orders(changes: DataFrame) -> DataFrame:
     )
     flat = rows.select(
         F.col("data")["id"].alias("order_id"), F.col("data")["province_id"].alias("province_id"),
-        "ts",
+        "ts", *arrival(changes),
     )
-    return newest_per_key(flat, ["order_id"], ["ts", "province_id"]).drop("ts")
+    return newest_per_key(flat, ["order_id"], ["ts", "province_id"]).drop("ts", "seq")
 
 
 def order_refund_wide(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -234,15 +249,18 @@ def refund_pay_wide(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     names = code_names(dictionary, "payment_type", "payment_type_name")
     paid = lookup(refund_payments_done(changes), names, ["payment_type"], ["id"], "inner")
     requests = newest_per_key(
-        order_refunds(changes).select("order_id", "sku_id", "refund_num", F.col("ts").alias("v")),
+        order_refunds(changes).select(
+            "order_id", "sku_id", "refund_num", F.col("ts").alias("v"), *arrival(changes)
+        ),
         ["order_id", "sku_id"],
         ["v", "refund_num"],
-    ).drop("v")
+    ).drop("v", "seq")
     updates = changes_of(changes, "order_info", [S.CHANGE_UPDATE]).select(
         F.col("data")["id"].alias("order_id"), F.col("data")["user_id"].alias("user_id"),
         F.col("data")["province_id"].alias("province_id"), F.col("ts").alias("v"),
+        *arrival(changes),
     )
-    orders = newest_per_key(updates, ["order_id"], ["v", "user_id", "province_id"]).drop("v")
+    orders = newest_per_key(updates, ["order_id"], ["v", "user_id", "province_id"]).drop("v", "seq")
     keys = refund_payments_done(changes).select("order_id", "sku_id")
     paid = spread_join(
         paid, requests, ["order_id", "sku_id"], ["id", "callback_time"], "inner",

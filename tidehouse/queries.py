@@ -353,10 +353,7 @@ def order_cancel(spark, sf_dir):
 @query
 def pay_detail_wide(spark, sf_dir):
     log = samples.change_log(spark, sf_dir, *WIDE_LOG, "payment_info")
-    names = samples.dictionary(spark, sf_dir)
-    newest = trade.newest_headers(trade.order_headers(log))
-    wide = trade.order_detail_wide(log, names, headers=newest)
-    return trade.pay_detail(log, wide, names)
+    return trade.pay_detail_of(log, samples.dictionary(spark, sf_dir))
 
 
 @query
@@ -442,6 +439,37 @@ def join_full(spark, sf_dir):
     return regular_join(left, right, ["id"], ["name"], "full").drop("id")
 
 
+def _customers_and_orders(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    """Both tables whole and ungrouped: customers have many orders, some have none."""
+    customers = samples.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), "c_custkey", F.col("c_name").alias("name")
+    )
+    orders = samples.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), "o_orderkey", F.col("o_orderstatus").alias("status")
+    )
+    return regular_join(customers, orders, ["id"], ["name"], how).drop("id")
+
+
+@query
+def fact_join_left(spark, sf_dir):
+    return _customers_and_orders(spark, sf_dir, "left")
+
+
+@query
+def fact_join_full(spark, sf_dir):
+    return _customers_and_orders(spark, sf_dir, "full")
+
+
+@query
+def newest_by_arrival(spark, sf_dir):
+    """Of a customer's orders, all of one second, the one that arrived last."""
+    orders = samples.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("order_id"), F.lit(0).alias("ts"), F.lit("same").alias("kind"),
+        F.col("o_orderkey").alias("last"), F.struct(F.col("o_orderkey").alias("pos")).alias("seq"),
+    )
+    return newest_per_key(orders, ["order_id"], ["ts", "kind"]).select("order_id", "last")
+
+
 # --- dimension tables --------------------------------------------------------------------------
 
 
@@ -475,7 +503,7 @@ def dim_upsert_latest(spark, sf_dir):
 @query
 def dim_schema_from_config(spark, sf_dir):
     """One dimension table with the columns its configuration names."""
-    schema = routing.dimension_schema("p_partkey,p_name,p_brand", "p_partkey")
+    schema = routing.configured_schema(samples.dim_config(spark), "dim_part")
     rows = routing.newest_dimension_rows(_routed(spark, sf_dir))
     return routing.dimension_table(rows, "dim_part", schema)
 

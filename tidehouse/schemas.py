@@ -123,13 +123,6 @@ ORDER_INFO_COLUMNS = [
     "parent_order_id", "province_id", "activity_reduce_amount", "coupon_reduce_amount",
     "original_total_amount", "feight_fee", "feight_fee_reduce",
 ]
-ORDER_ACTIVITY_COLUMNS = [
-    "id", "order_id", "order_detail_id", "activity_id", "activity_rule_id", "sku_id",
-    "create_time",
-]
-ORDER_COUPON_COLUMNS = [
-    "id", "order_id", "order_detail_id", "coupon_id", "coupon_use_id", "sku_id", "create_time",
-]
 CART_COLUMNS = [
     "id", "user_id", "sku_id", "cart_price", "sku_num", "sku_name", "is_checked", "create_time",
     "operate_time", "is_ordered", "order_time", "source_type", "source_id",

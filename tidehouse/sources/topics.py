@@ -1,7 +1,11 @@
 """Topics as DataFrames of lines: a message broker where its connector is present, else files.
 
-A file topic is a folder of text or parquet files with a ``value`` column; every file is a batch of
+A file topic is a folder of parquet files with a ``value`` column; every file is a batch of
 messages. Null payloads (deletions in a keyed topic) are read as empty text.
+
+With ``sequence`` the lines carry ``seq`` (at, part, pos), which orders them by arrival: a broker's
+partition and offset (the records of a key share a partition), or a file's modification time and
+name and the row in it. Put it behind the record's own time in every version.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ def read_topic(
     streaming: bool = True,
     starting: str = "latest",
     files_per_batch: int | None = None,
+    sequence: bool = False,
 ) -> DataFrame:
     """Lines of ``topic``: a topic name with ``servers``, else a folder of parquet lines."""
     reader = spark.readStream if streaming else spark.read
@@ -39,11 +44,22 @@ def read_topic(
             .option("startingOffsets", starting if streaming else "earliest")
             .load()
         )
-        return lines(raw.select("value"))
+        at = F.struct(
+            F.lit(0).cast("long").alias("at"), F.col("partition").cast("string").alias("part"),
+            F.col("offset").alias("pos"),
+        )
+        return lines(raw.select("value", at.alias("seq")) if sequence else raw.select("value"))
     reader = reader.schema(LINE)
     if streaming and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return lines(reader.parquet(topic))
+    rows = reader.parquet(topic)
+    if sequence:
+        at = F.struct(
+            F.unix_micros("_metadata.file_modification_time").alias("at"),
+            F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("pos"),
+        )
+        rows = rows.select("value", at.alias("seq"))
+    return lines(rows)
 
 
 def read_json_topic(

@@ -7,7 +7,8 @@ watermark has not closed by then are not in the result, as in a running job.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidehouse import schemas as S
 from tidehouse.operators import records
-from tidehouse.plans import actions, dimensions, metrics, trade
-from tidehouse.queries import TIE, query, spu_names
+from tidehouse.operators.keyed import newest_per_key
+from tidehouse.plans import actions, dimensions, metrics, trade, traffic
+from tidehouse.queries import TIE, WIDE_LOG, _flat_old, query, spu_names
 from tidehouse.session import ROCKSDB, run_dir, settings, state_partitions
 from tidehouse.sources import samples, topics
-from tidehouse.streaming import jobs, sinks
-from tidehouse.streaming.state import first_of_day_stream, fix_is_new_stream
+from tidehouse.streaming import incremental, jobs, sinks
+from tidehouse.streaming.state import first_of_day_stream
+from tidehouse.streaming.stores import Store
+
+
+# The test tables' events come in order.
+NO_DELAY = "0 seconds"
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +75,11 @@ class Run:
             jobs.user_jumps_writer(self.path("jumps"), self.path("pending"), TIE),
         )
 
+    def visitors(self, pages: DataFrame) -> DataFrame:
+        writer = jobs.unique_visitors_writer(self.path("visitors"), TIE)
+        self.each(traffic.entry_pages(pages), "visitors", writer)
+        return self.read("visitors").drop("batch")
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
@@ -82,32 +94,39 @@ class Run:
 # --- detail layer --------------------------------------------------------------------------------
 
 
+def _fixed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    run = Run(spark, name)
+    pages = pages_stream(spark, sf_dir).select("event_id", "mid", "page_id", "is_new", "ts")
+    run.each(pages, "fixed", jobs.new_visitor_writer(run.path("fixed"), run.path("days"), TIE))
+    return run.read("fixed").drop("batch").withColumn("ts", F.unix_millis("ts"))
+
+
 @query
 def stream_fix_is_new(spark, sf_dir):
-    """Corrected new-visitor flags with state per visitor."""
-    pages = pages_stream(spark, sf_dir).select("event_id", "mid", "page_id", "is_new", "ts")
-    out = Run(spark, "fix-is-new").result(fix_is_new_stream(pages))
-    return out.withColumn("ts", F.unix_millis("ts"))
+    """Corrected new-visitor flags; the first micro-batch with a visitor decides."""
+    return _fixed(spark, sf_dir, "fix-is-new")
 
 
 @query
 def stream_fix_is_new_table(spark, sf_dir):
-    """Corrected new-visitor flags with the new days in a table, for very busy visitors."""
-    run = Run(spark, "fix-is-new-table")
-    pages = pages_stream(spark, sf_dir).select("event_id", "mid", "page_id", "is_new", "ts")
-    run.each(pages, "fixed", jobs.new_visitor_writer(run.path("fixed"), run.path("days"), TIE))
-    return run.read("fixed").drop("batch").withColumn("ts", F.unix_millis("ts"))
+    """Corrected new-visitor flags with the new days in a table."""
+    return _fixed(spark, sf_dir, "fix-is-new-table")
 
 
 @query
 def stream_unique_visitor(spark, sf_dir):
-    """Visitors of each day; a busy visitor is deduplicated in eight parts first."""
-    out = Run(spark, "unique-visitor").result(
-        jobs.unique_visitors_stream(pages_stream(spark, sf_dir), parts=8)
-    )
+    """Visitors of each day."""
+    out = Run(spark, "unique-visitor").visitors(pages_stream(spark, sf_dir))
     return out.select("mid", F.date_format("ts", S.DAY_FORMAT).alias("day"))
 
 
+@query
+def stream_unique_visitor_first(spark, sf_dir):
+    """The record that each day's visit is counted by: the first of the day."""
+    out = Run(spark, "unique-visitor-first").visitors(pages_stream(spark, sf_dir))
+    return out.select("mid", "event_id", F.date_format("ts", S.DAY_FORMAT).alias("day"))
+
+
 @query
 def stream_user_jump(spark, sf_dir):
     """Bounced session entries."""
@@ -121,8 +140,10 @@ def stream_user_jump(spark, sf_dir):
 def stream_cart_first(spark, sf_dir):
     """Users who added to their cart, per day."""
     additions = trade.cart_additions(samples.cart_info(table_stream(spark, sf_dir, "lineitem")))
-    out = Run(spark, "cart-first").result(jobs.cart_first_of_day_stream(additions))
-    return out.select("user_id", "cart_day")
+    run = Run(spark, "cart-first")
+    timed = metrics.with_cart_time(additions)
+    run.each(timed, "first", jobs.cart_first_of_day_writer(run.path("first"), ["id"]))
+    return run.read("first").select("user_id", "cart_day")
 
 
 # --- joins -----------------------------------------------------------------------------------------
@@ -142,7 +163,7 @@ def _click_and_view(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def stream_interval_join(spark, sf_dir):
     """Clicks and views of one visitor at most five seconds apart."""
     left, right = _click_and_view(spark, sf_dir)
-    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts")
+    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts", delay=NO_DELAY)
     gap = F.unix_micros("right_ts") - F.unix_micros("left_ts")
     out = Run(spark, "interval-join").result(
         joined.select("mid", "left_id", "right_id", gap.alias("gap_us"))
@@ -154,7 +175,7 @@ def stream_interval_join(spark, sf_dir):
 def stream_left_join(spark, sf_dir):
     """Clicks with the views near them; lonely clicks follow when the watermark has passed."""
     left, right = _click_and_view(spark, sf_dir)
-    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts", how="left")
+    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts", how="left", delay=NO_DELAY)
     return Run(spark, "left-join").result(joined.select("mid", "left_id", "right_id"))
 
 
@@ -162,7 +183,7 @@ def stream_left_join(spark, sf_dir):
 def stream_full_join(spark, sf_dir):
     """Clicks and views near each other, and the lonely ones of both sides."""
     left, right = _click_and_view(spark, sf_dir)
-    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts", how="full")
+    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts", how="full", delay=NO_DELAY)
     return Run(spark, "full-join").result(
         joined.select(F.coalesce("mid", "_mid").alias("mid"), "left_id", "right_id")
     )
@@ -188,7 +209,7 @@ def stream_lookup(spark, sf_dir):
 def stream_page_view_window(spark, sf_dir):
     """Traffic counters: visitor and bounce topics are written first, then all three are joined."""
     run = Run(spark, "page-view-window")
-    run.write(jobs.unique_visitors_stream(pages_stream(spark, sf_dir, fast=True)), "visitors")
+    run.visitors(pages_stream(spark, sf_dir, fast=True))
     run.jumps(pages_stream(spark, sf_dir, fast=True))
     return run.result(
         jobs.page_view_window_stream(
@@ -208,7 +229,8 @@ def stream_keyword_window(spark, sf_dir):
 def stream_home_detail(spark, sf_dir):
     """Daily first visits of two pages per ten seconds."""
     run = Run(spark, "home-detail")
-    run.write(jobs.home_detail_visits_stream(pages_stream(spark, sf_dir)), "visits")
+    pages = jobs.home_and_detail(pages_stream(spark, sf_dir))
+    run.each(pages, "visits", jobs.home_detail_visits_writer(run.path("visits"), TIE))
     return run.result(jobs.home_detail_window_stream(run.stream("visits")))
 
 
@@ -216,7 +238,8 @@ def stream_home_detail(spark, sf_dir):
 def stream_user_login(spark, sf_dir):
     """Daily logins and returns per ten seconds, with the last login kept per user."""
     run = Run(spark, "user-login")
-    run.write(jobs.user_logins_stream(pages_stream(spark, sf_dir)), "logins")
+    entries = jobs.known_entries(pages_stream(spark, sf_dir))
+    run.each(entries, "logins", jobs.user_logins_writer(run.path("logins"), run.path("last"), TIE))
     return run.result(jobs.user_login_window_stream(run.stream("logins")))
 
 
@@ -242,6 +265,118 @@ def stream_newest(spark, sf_dir):
     return Run(spark, "newest").result(newest)
 
 
+# --- trade, from the change log to facts and windows ---------------------------------------------
+
+
+def change_stream(spark: SparkSession, sf_dir: str, *only: str) -> DataFrame:
+    """The change log of the named tables as one stream."""
+    sources: dict[str, DataFrame] = {}
+    logs = []
+    for name in only:
+        source, make = samples.CHANGE_TABLES[name]
+        if source not in sources:
+            sources[source] = table_stream(spark, sf_dir, source)
+        logs.append(make(sources[source]))
+    return reduce(DataFrame.unionByName, logs)
+
+
+def _facts(spark: SparkSession, sf_dir: str, name: str, tables: Sequence[str], compute) -> DataFrame:
+    """Facts of all orders, written by micro-batches; records of ten years are kept."""
+    run = Run(spark, name)
+    names = samples.dictionary(spark, sf_dir)
+    writer = incremental.order_facts_writer(
+        run.path("facts"), run.path("changes"), lambda log: compute(log, names), keep_s=3650 * incremental.DAY_S
+    )
+    run.each(incremental.with_order(change_stream(spark, sf_dir, *tables)), "facts", writer)
+    return incremental.current(spark, run.path("facts"), ["order_id"])
+
+
+@query
+def stream_order_detail(spark, sf_dir):
+    """Order lines with header, activity, coupon and source name."""
+    return _flat_old(_facts(spark, sf_dir, "order-detail", WIDE_LOG, trade.order_detail_wide))
+
+
+@query
+def stream_order_add(spark, sf_dir):
+    """Order lines as they were placed, selected from the streamed facts."""
+    return _flat_old(trade.order_add(_facts(spark, sf_dir, "order-add", WIDE_LOG, trade.order_detail_wide)))
+
+
+@query
+def stream_order_cancel(spark, sf_dir):
+    """Lines of cancelled orders, selected from the streamed facts."""
+    return _flat_old(trade.order_cancel(_facts(spark, sf_dir, "order-cancel", WIDE_LOG, trade.order_detail_wide)))
+
+
+@query
+def stream_pay_detail(spark, sf_dir):
+    """Paid order lines."""
+    return _facts(spark, sf_dir, "pay-detail", (*WIDE_LOG, "payment_info"), trade.pay_detail_of)
+
+
+@query
+def stream_order_refund(spark, sf_dir):
+    """Refund requests with province and code names."""
+    return _facts(spark, sf_dir, "order-refund", ("order_info", "order_refund_info"), trade.order_refund_wide)
+
+
+@query
+def stream_refund_pay(spark, sf_dir):
+    """Paid refunds with buyer, province and quantity."""
+    tables = ("order_info", "order_refund_info", "refund_payment")
+    return _facts(spark, sf_dir, "refund-pay", tables, trade.refund_pay_wide)
+
+
+@query
+def stream_trade_spu_window(spark, sf_dir):
+    """Orders and amounts per window, user and product family, from the change log on.
+
+    Order facts are the first hop; the second keeps the newest version of each line, looks the
+    product up anew in every micro-batch and recomputes the windows it touches.
+    """
+    run = Run(spark, "trade-spu-window")
+    names, dims = samples.dictionary(spark, sf_dir), samples.product_tables(spark, sf_dir)
+    facts = incremental.order_facts_writer(
+        run.path("facts"), run.path("changes"),
+        lambda log: trade.order_add(trade.order_detail_wide(log, names, offers=False)), keep_s=3650 * incremental.DAY_S,
+    )
+    changes = change_stream(spark, sf_dir, "order_info", "order_detail")
+    run.each(incremental.with_order(changes), "facts", facts)
+
+    def count(lines: DataFrame) -> DataFrame:
+        newest = newest_per_key(lines, ["order_detail_id"], ["batch", "_batch"])
+        ready = metrics.order_lines_for_window(newest)
+        named = dimensions.with_product(ready, samples.product_tables(spark, sf_dir)["sku"], ["order_id"])
+        return metrics.spu_order_window(named).withColumn("_window", F.to_timestamp("stt"))
+
+    lines = run.stream("facts").select("order_detail_id", "order_id", "sku_id", "user_id", "split_total_amount", "order_create_time", "batch")
+    timed = lines.withColumn("event_ts", F.try_to_timestamp("order_create_time", F.lit(S.SECOND_FORMAT)))
+    writer = incremental.window_writer(run.path("windows"), Store(run.path("lines")), "event_ts", count)
+    run.each(timed.filter("event_ts IS NOT NULL"), "windows", writer)
+    return spu_names(incremental.current(spark, run.path("windows"), ["_window"]).drop("_window"), dims)
+
+
+@query
+def stream_cart_uu_window(spark, sf_dir):
+    """Users who added to their cart for the first time that day, per ten seconds, from the log on."""
+    run = Run(spark, "cart-uu-window")
+    first = jobs.cart_first_of_day_writer(run.path("first"), ["id"])
+    writer = sinks.refreshed_writer(
+        lambda: samples.dictionary(spark, sf_dir),
+        lambda batch, names: metrics.with_cart_time(trade.cart_add(batch, names)), first,
+    )
+    run.each(change_stream(spark, sf_dir, "cart_info"), "first", writer)
+
+    def count(rows: DataFrame) -> DataFrame:
+        return metrics.cart_user_window(rows).withColumn("_window", F.to_timestamp("stt"))
+
+    windows = incremental.window_writer(run.path("windows"), Store(run.path("rows")), "event_ts", count)
+    firsts = run.stream("first").select("user_id", "event_ts").filter("event_ts IS NOT NULL")
+    run.each(firsts, "windows", windows)
+    return incremental.current(spark, run.path("windows"), ["_window"]).drop("_window")
+
+
 # --- sinks -----------------------------------------------------------------------------------------
 
 

@@ -18,7 +18,8 @@ from tidehouse.operators.lookup import code_names, lookup
 from tidehouse.operators.visits import new_visitor_days, with_true_flag
 from tidehouse.plans import metrics, traffic, trade
 from tidehouse.streaming import sinks
-from tidehouse.streaming.state import first_of_day_stream, logins_stream
+from tidehouse.streaming import incremental
+from tidehouse.streaming.stores import Folder, Store, keyed_store
 
 DELAY = "2 seconds"
 TRAFFIC_DELAY = "13 seconds"
@@ -27,9 +28,9 @@ TRAFFIC_DELAY = "13 seconds"
 # --- traffic -----------------------------------------------------------------------------------
 
 
-def unique_visitors_stream(pages: DataFrame, parts: int = 1) -> DataFrame:
-    """First session entry per visitor and day."""
-    return first_of_day_stream(traffic.entry_pages(pages), ["mid"], parts=parts)
+def unique_visitors_writer(out: str, tie: Sequence[str] = ()) -> sinks.BatchWriter:
+    """First session entry per visitor and day; batches are of ``traffic.entry_pages``."""
+    return incremental.first_of_day_writer(out, ["mid"], tie=tie)
 
 
 def user_jumps_writer(
@@ -68,30 +69,34 @@ def user_jumps_writer(
             found = bounced_entries(rows, "mid", "ts", tie, within_s).filter(settled)
             found.write.mode("overwrite").parquet(sinks.batch_folder(out, batch_id))
             open_rows.write.mode("overwrite").parquet(sinks.batch_folder(pending, batch_id))
+            # A repeated batch reads the pages of the one before it; older ones are settled.
+            folder = Folder(batch.sparkSession, pending)
+            for name in folder.names():
+                if name.startswith("batch=") and int(name[6:]) < batch_id - 1:
+                    folder.remove(name)
         finally:
             rows.unpersist()
 
     return write
 
 
-def new_visitor_writer(out: str, known: str, tie: Sequence[str] = ()) -> sinks.BatchWriter:
+def new_visitor_writer(out: str, known: str, tie: Sequence[str] = (), every: int = 20) -> sinks.BatchWriter:
     """Corrected new-visitor flags per micro-batch, with the new days in a table.
 
-    The other form, ``state.fix_is_new_stream``, keeps them as keyed state: quicker for small
-    micro-batches, but all rows of a visitor pass one task. Here a busy visitor is cut as on
-    tables, at the price of reading the table of new days once per micro-batch; it suits
-    backfills and long triggers.
+    The first micro-batch that has a visitor decides, by its first record in event time. A busy
+    visitor is cut as on tables.
     """
+    store = Store(known, every=every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, rows = batch.sparkSession, batch.persist()
         try:
             fresh = new_visitor_days(rows, "ts", tie)
-            if batch_id > 0:
-                earlier = spark.read.parquet(known).filter(F.col("batch") < batch_id)
+            earlier = store.before(spark, batch_id)
+            if earlier is not None:
                 fresh = fresh.join(earlier.select("mid"), ["mid"], "left_anti")
-            fresh.write.mode("overwrite").parquet(sinks.batch_folder(known, batch_id))
-            days = spark.read.parquet(known).filter(F.col("batch") <= batch_id).drop("batch")
+            store.append(fresh, batch_id)
+            days = store.before(spark, batch_id + 1).drop("_batch")
             fixed = with_true_flag(rows, days, "ts", tie)
             fixed.write.mode("overwrite").parquet(sinks.batch_folder(out, batch_id))
         finally:
@@ -113,20 +118,26 @@ def keyword_window_stream(pages: DataFrame, delay: str = DELAY) -> DataFrame:
     return metrics.keyword_window(words.withWatermark("ts", delay))
 
 
-def home_detail_visits_stream(pages: DataFrame, parts: int = 1) -> DataFrame:
+def home_and_detail(pages: DataFrame) -> DataFrame:
+    return pages.filter(F.col("page_id").isin(S.PAGE_HOME, S.PAGE_DETAIL))
+
+
+def home_detail_visits_writer(out: str, tie: Sequence[str] = ()) -> sinks.BatchWriter:
     """First daily visit of the home and the detail page per visitor."""
-    two = pages.filter(F.col("page_id").isin(S.PAGE_HOME, S.PAGE_DETAIL))
-    return first_of_day_stream(two, ["mid", "page_id"], parts=parts)
+    return incremental.first_of_day_writer(out, ["mid", "page_id"], tie=tie)
 
 
 def home_detail_window_stream(first_visits: DataFrame, delay: str = DELAY) -> DataFrame:
     return metrics.home_detail_window(first_visits.withWatermark("ts", delay))
 
 
-def user_logins_stream(pages: DataFrame, parts: int = 1) -> DataFrame:
-    """Daily logins; the deduplication leaves one row per user and day for the Python state."""
-    known = traffic.entry_pages(pages).filter(F.col("uid").isNotNull())
-    return logins_stream(first_of_day_stream(known, ["uid"], parts=parts))
+def known_entries(pages: DataFrame) -> DataFrame:
+    return traffic.entry_pages(pages).filter(F.col("uid").isNotNull())
+
+
+def user_logins_writer(out: str, last: str, tie: Sequence[str] = ()) -> sinks.BatchWriter:
+    """Daily logins; each user's last day is kept below ``last``. Batches are of ``known_entries``."""
+    return incremental.logins_writer(out, keyed_store(last, ["uid"], ["day"]), tie=tie)
 
 
 def user_login_window_stream(daily: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -136,10 +147,9 @@ def user_login_window_stream(daily: DataFrame, delay: str = DELAY) -> DataFrame:
 # --- carts and registrations ---------------------------------------------------------------------
 
 
-def cart_first_of_day_stream(additions: DataFrame, parts: int = 1) -> DataFrame:
-    """First cart addition per user and day."""
-    timed = metrics.with_cart_time(additions)
-    return first_of_day_stream(timed, ["user_id"], "event_ts", parts)
+def cart_first_of_day_writer(out: str, tie: Sequence[str] = ()) -> sinks.BatchWriter:
+    """First cart addition per user and day; batches are of ``metrics.with_cart_time``."""
+    return incremental.first_of_day_writer(out, ["user_id"], "event_ts", tie)
 
 
 def cart_user_window_stream(first_additions: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -155,6 +165,13 @@ def register_window_stream(registered: DataFrame, delay: str = DELAY) -> DataFra
 # --- trade -----------------------------------------------------------------------------------------
 
 
+def _seconds(span: str) -> int:
+    """Whole seconds of a span such as ``5 seconds`` or ``3 days``."""
+    count, unit = span.split()
+    sizes = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    return int(count) * sizes[unit.rstrip("s")]
+
+
 def _near(left: str, right: str, keep: str) -> Column:
     span = F.expr(f"INTERVAL {keep}")
     return F.col(right).between(F.col(left) - span, F.col(left) + span)
@@ -168,23 +185,40 @@ def interval_join_stream(
     right_ts: str,
     keep: str = "5 seconds",
     how: str = "inner",
-    delay: str = "0 seconds",
+    *,
+    delay: str,
 ) -> DataFrame:
     """Join of two streams on ``on`` and at most ``keep`` apart; state goes with the watermark.
 
     ``how`` may also be left, right or full: a row without partner is sent on once, with nulls,
-    when no partner can come any more.
+    when no partner can come any more. Rows more than ``delay`` behind the newest are dropped.
+
+    A key is cut into time slices, as in ``operators.intervals``: a left row is in one slice, a
+    right row is shown to the slices whose left rows it can meet, so a busy key is spread over its
+    slices. With right and full joins a right row must stay single, and the key is not cut.
     """
     a = left.withWatermark(left_ts, delay).alias("a")
-    b = right.withColumnRenamed(on, f"_{on}").withWatermark(right_ts, delay).alias("b")
-    return a.join(b, (F.col(on) == F.col(f"_{on}")) & _near(left_ts, right_ts, keep), how)
+    b = right.withColumnRenamed(on, f"_{on}").withWatermark(right_ts, delay)
+    same = (F.col(on) == F.col(f"_{on}")) & _near(left_ts, right_ts, keep)
+    if how in ("right", "full"):
+        return a.join(b.alias("b"), same, how)
+    span = 2 * _seconds(keep) * SECOND
+    right_us = F.unix_micros(right_ts)
+    first, last = (F.floor((right_us + F.lit(side * span // 2)) / F.lit(span)) for side in (-1, 1))
+    a = left.withColumn("_slice", F.floor(F.unix_micros(left_ts) / F.lit(span))).withWatermark(left_ts, delay).alias("a")
+    b = b.withColumn("_right_slice", F.explode(F.sequence(first, last))).alias("b")
+    joined = a.join(b, same & (F.col("_slice") == F.col("_right_slice")), how)
+    return joined.drop("_slice", "_right_slice")
 
 
 def order_detail_stream(
-    changes: DataFrame, dictionary: DataFrame, keep: str = "3 days", delay: str = "0 seconds"
+    changes: DataFrame, dictionary: DataFrame, keep: str = "3 days", delay: str = "3 days"
 ) -> DataFrame:
     """Order lines joined with header, activity and coupon that come within ``keep``.
 
+    Rows may come ``delay`` late. ``incremental.order_facts_writer`` is the other form: it keeps
+    its state in a table, cuts hot orders and corrects what was written.
+
     Activities and coupons are optional: when none came in time, the line is sent on once with
     nulls. The dictionary is joined as a table.
     """

@@ -1,7 +1,8 @@
 """Sinks: append topics, keyed tables, window results, dimension tables, fan-out.
 
 Every micro-batch writes its own ``batch=<id>`` folder and replaces it when the batch is run again
-after a failure, so nothing is written twice.
+after a failure, so folders hold nothing twice. A broker topic is written at least once, and a
+database table gets a repeated batch again; its batch number tells the copies apart.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidehouse.operators import routing
 from tidehouse.operators.keyed import newest_per_key
+from tidehouse.streaming import stores
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -56,12 +58,12 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch={batch_id}"
 
 
-def upsert_writer(path: str, keys: Sequence[str], version: Sequence[str]) -> BatchWriter:
-    """Keeps the newest row per key of every micro-batch."""
+def upsert_writer(path: str, keys: Sequence[str], version: Sequence[str], every: int = 20) -> BatchWriter:
+    """Keeps the newest row per key; after ``every`` micro-batches the table is rewritten compacted."""
+    store = stores.keyed_store(path, keys, version, every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = newest_per_key(batch, keys, version)
-        newest.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        store.append(newest_per_key(batch, keys, version), batch_id)
 
     return write
 
@@ -74,16 +76,17 @@ def read_latest(
     deleted: str | None = None,
 ) -> DataFrame:
     """Current row per key; of equal versions the later batch wins. ``deleted`` marks removals."""
-    rows = newest_per_key(spark.read.parquet(path), keys, [*version, "batch"])
-    return rows.filter(f"NOT ({deleted})").drop("batch") if deleted else rows.drop("batch")
+    rows = newest_per_key(stores.Store(path).before(spark), keys, [*version, stores.BATCH])
+    rows = rows.drop(stores.BATCH)
+    return rows.filter(f"NOT ({deleted})") if deleted else rows
 
 
 def compact_latest(
     spark: SparkSession, path: str, to: str, keys: Sequence[str], version: Sequence[str]
 ) -> None:
     """Rewrites a keyed table with one row per key, as batch -1 of a new folder."""
-    newest = newest_per_key(spark.read.parquet(path), keys, [*version, "batch"]).drop("batch")
-    newest.write.mode("overwrite").parquet(batch_folder(to, -1))
+    newest = newest_per_key(stores.Store(path).before(spark), keys, [*version, stores.BATCH])
+    newest.withColumn(stores.BATCH, F.lit(-1).cast("long")).write.mode("overwrite").parquet(batch_folder(to, -1))
 
 
 def window_writer(
@@ -138,6 +141,13 @@ def dimension_writer(path: str, read_config: Callable[[], DataFrame]) -> BatchWr
     return write
 
 
+def read_dimension(spark: SparkSession, path: str, sink_table: str, config: DataFrame) -> DataFrame:
+    """Newest rows of one target over all micro-batches, typed by the target's configuration row."""
+    rows = spark.read.parquet(path).filter(F.col("sink_table") == sink_table)
+    newest = newest_per_key(rows, ["sink_table", "pk"], ["ts", "batch", "type"])
+    return routing.dimension_table(newest, sink_table, routing.configured_schema(config, sink_table))
+
+
 def fan_out_writer(
     root: str, branches: dict[str, Callable[[DataFrame], DataFrame]]
 ) -> BatchWriter:

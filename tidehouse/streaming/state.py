@@ -1,107 +1,17 @@
-"""Keyed state that lasts longer than any window.
-
-Only two rules need it: the new-visitor flag and the last login. Everything else is expressed with
-Spark's own stateful operators (deduplication, windows, stream joins).
-"""
+"""Keyed state that lasts longer than any window, with Spark's own operator."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-# The processors travel to the executors by value, so these need not have the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-DAY_STATE = T.StructType([T.StructField("day", T.DateType())])
-
-
-class NewVisitor(StatefulProcessor):
-    """Remembers the one day on which a visitor counts as new; the first arrival decides.
-
-    Rows pass through chunk by chunk, so a busy visitor is never held in memory as a whole.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.new_day = handle.getValueState("new_day", DAY_STATE)
-
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        known = self.new_day.get()[0] if self.new_day.exists() else None
-        for chunk in rows:
-            if chunk.empty:
-                continue
-            chunk = chunk.sort_values("ts", kind="stable")
-            day = chunk["ts"].dt.date
-            if known is None:
-                first = day.iloc[0]
-                is_new = chunk["is_new"].iloc[0] == "1"
-                known = first if is_new else first - pd.Timedelta(days=1).to_pytimedelta()
-                self.new_day.update((known,))
-            wrong = (chunk["is_new"] == "1") & (day != known)
-            yield chunk.assign(is_new=chunk["is_new"].mask(wrong, "0"))
-
-    def close(self) -> None:
-        pass
-
-
-class LastLogin(StatefulProcessor):
-    """Remembers a user's last login day; input is at most one row per user and day."""
-
-    def __init__(self, back_days: int = 8) -> None:
-        self.back_days = back_days
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last_day = handle.getValueState("last_day", DAY_STATE)
-
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        last = self.last_day.get()[0] if self.last_day.exists() else None
-        for chunk in rows:
-            if chunk.empty:
-                continue
-            chunk = chunk.sort_values("ts", kind="stable")
-            back = []
-            for day in chunk["ts"].dt.date:
-                back.append(int(last is not None and (day - last).days >= self.back_days))
-                last = day
-            self.last_day.update((last,))
-            yield pd.DataFrame(
-                {"uid": chunk["uid"], "ts": chunk["ts"], "back_ct": back, "uu_ct": 1}
-            )
-
-    def close(self) -> None:
-        pass
-
-
-def fix_is_new_stream(logs: DataFrame) -> DataFrame:
-    """Streaming form of ``operators.visits.fix_is_new``; columns are unchanged."""
-    return logs.groupBy("mid").transformWithStateInPandas(
-        NewVisitor(), logs.schema, "append", "None"
-    )
-
-
-def logins_stream(daily: DataFrame, back_days: int = 8) -> DataFrame:
-    """Daily first entries with ``back_ct`` and ``uu_ct``; streaming form of ``visits.logins``."""
-    out = "uid string, ts timestamp, back_ct long, uu_ct long"
-    return daily.select("uid", "ts").groupBy("uid").transformWithStateInPandas(
-        LastLogin(back_days), out, "append", "None"
-    )
 
 
 def first_of_day_stream(
     df: DataFrame, keys: list[str], ts: str = "ts", parts: int = 1
 ) -> DataFrame:
-    """First arrival of every key and calendar day.
+    """One arrival of every key and calendar day; of a micro-batch's rows any may be the one kept.
+
+    Where it matters which row is kept, use ``incremental.first_of_day_writer``.
 
     The day is part of the key, so repeats of a key are less than a day apart. A watermark of one
     day therefore keeps a key long enough, and lets Spark forget it afterwards; rows are sent on at
