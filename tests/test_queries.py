@@ -22,9 +22,3 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, name):
     assert compare(QUERIES[name](spark, SF), SF, ORACLE[name]) == []
-
-
-def test_processing_time_columns(spark):
-    rows = QUERIES["fn_proc_time"](spark, SF)
-    assert rows.count() == 1500
-    assert rows.filter("NOT same_second OR NOT same_milli").count() == 0

@@ -26,6 +26,9 @@ NAMES = [
     "order_detail_wide", "pay_detail_wide", "order_refund_wide", "refund_pay_wide",
     "dim_chain_enrich", "trade_spu_window", "join_inner", "join_left", "join_right", "join_full",
     "lookup_left", "stream_unique_visitor", "stream_user_jump", "stream_fix_is_new_table",
+    "stream_fix_is_new", "stream_unique_visitor_first", "stream_home_detail", "stream_user_login", "stream_cart_first",
+    "stream_page_view_window", "stream_interval_join", "stream_order_detail", "stream_pay_detail", "stream_order_refund",
+    "stream_refund_pay", "fact_join_left", "fact_join_full",
 ]
 
 

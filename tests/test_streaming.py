@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tidehouse import schemas as S
 from tidehouse.operators import routing
 from tidehouse.sources import topics
-from tidehouse.streaming import jobs, sinks
-from tidehouse.streaming.state import fix_is_new_stream, logins_stream
+from tidehouse.plans import trade
+from tidehouse.streaming import incremental, jobs, sinks, stores
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 DAY = 86400
@@ -41,16 +41,6 @@ def run(df, path, check):
     return query
 
 
-def test_new_visitor_state_survives_a_restart(spark, tmp_path):
-    feed = Feed(spark, tmp_path / "in", "n int, mid string, ts timestamp, is_new string")
-    feed.add([(0, "a", at(0), "1"), (1, "a", at(DAY), "1"), (2, "b", at(0), "0")])
-    run(fix_is_new_stream(feed.stream()), tmp_path / "out", tmp_path / "check")
-    feed.add([(3, "a", at(5), "1"), (4, "b", at(9), "1"), (5, "c", at(DAY), "1")])
-    run(fix_is_new_stream(feed.stream()), tmp_path / "out", tmp_path / "check")
-    got = {r.n: r.is_new for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got == {0: "1", 1: "0", 2: "0", 3: "1", 4: "0", 5: "1"}
-
-
 def test_new_visitor_table_over_two_deliveries(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", "n int, mid string, ts timestamp, is_new string")
     out = str(tmp_path / "out")
@@ -65,25 +55,33 @@ def test_new_visitor_table_over_two_deliveries(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "days")).count() == 3
 
 
-def test_last_login_state(spark, tmp_path):
+def each(feed, write, check):
+    sinks.each_batch(feed.stream(), write, str(check)).awaitTermination()
+
+
+def test_last_login_over_deliveries(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", "uid string, ts timestamp")
-    out = tmp_path / "out"
-    for rows in ([("u", at(0)), ("u", at(3 * DAY))], [("u", at(11 * DAY)), ("v", at(0))]):
+    out = str(tmp_path / "out")
+    write = jobs.user_logins_writer(out, str(tmp_path / "last"))
+    deliveries = ([("u", at(3 * DAY)), ("u", at(0)), ("u", at(1))], [("u", at(11 * DAY)), ("v", at(0)), ("u", at(3 * DAY + 9))])
+    for rows in deliveries:
         feed.add(rows)
-        run(logins_stream(feed.stream()), out, tmp_path / "check")
-    got = sorted((r.uid, r.ts.day, r.back_ct) for r in spark.read.parquet(str(out)).collect())
-    assert got == [("u", 1, 0), ("u", 4, 0), ("u", 12, 1), ("v", 1, 0)]
+        each(feed, write, tmp_path / "check")
+    got = sorted((r.uid, r.ts.day, r.ts.second, r.back_ct) for r in spark.read.parquet(out).collect())
+    assert got == [("u", 1, 0, 0), ("u", 4, 0, 0), ("u", 12, 0, 1), ("v", 1, 0, 0)]
 
 
-def test_unique_visitor_over_two_deliveries(spark, tmp_path):
+def test_unique_visitor_over_deliveries_and_a_repeat(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", "mid string, ts timestamp, last_page_id string")
-    out = tmp_path / "out"
-    feed.add([("a", at(1), None), ("a", at(2), None), ("b", at(3), "home")])
-    run(jobs.unique_visitors_stream(feed.stream()), out, tmp_path / "check")
-    feed.add([("a", at(9000), None), ("a", at(DAY + 1), None), ("b", at(9001), None)])
-    run(jobs.unique_visitors_stream(feed.stream()), out, tmp_path / "check")
-    got = sorted((r.mid, r.ts.day) for r in spark.read.parquet(str(out)).collect())
-    assert got == [("a", 1), ("a", 2), ("b", 1)]
+    out = str(tmp_path / "out")
+    write = jobs.unique_visitors_writer(out)
+    for rows in ([("a", at(2), None), ("a", at(1), None)], [("a", at(9000), None), ("a", at(DAY + 1), None), ("b", at(9001), None)]):
+        feed.add(rows)
+        each(feed, write, tmp_path / "check")
+    again = spark.createDataFrame([("a", at(9000), None), ("a", at(DAY + 1), None), ("b", at(9001), None)], feed.schema)
+    write(again, 1)
+    got = sorted((r.mid, r.ts.day, r.ts.second) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 1, 1), ("a", 2, 1), ("b", 1, 1)]
 
 
 def test_bounce_split_over_deliveries(spark, tmp_path):
@@ -215,3 +213,67 @@ def test_topic_round_trip(spark, tmp_path):
     sinks.append_topic(feed.stream(), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     read = topics.read_json_topic(spark, str(tmp_path / "t"), feed.stream().schema, streaming=False)
     assert sorted((r.id, r.name) for r in read.collect()) == [(1, "a"), (2, None)]
+
+
+def order_change(table, kind, ts, data, old=None):
+    return (S.DATABASE, table, kind, ts, data, old)
+
+
+def test_late_order_rows_correct_the_facts(spark, tmp_path):
+    """A line and its header five seconds and one day late, a coupon after its line, and a repeat of the last batch."""
+    names = spark.createDataFrame([("1", "web")], "dic_code string, dic_name string")
+    start = int(BASE.timestamp())
+
+    def line(key, order, ts):
+        return order_change("order_detail", "insert", ts, {"id": key, "order_id": order, "source_type": "1", "sku_num": "1", "order_price": "2.00"})
+
+    def header(order, ts):
+        return order_change("order_info", "insert", ts, {"id": order, "order_status": "1001"})
+
+    batches = [
+        [line("d1", "o1", start + 10), header("o1", start + 10)],
+        [line("d2", "o2", start + 5), header("o2", start + 5), line("d3", "o3", start + 2 * DAY)],
+        [header("o3", start + DAY), order_change("order_detail_coupon", "insert", start + 12, {"order_id": "o1", "order_detail_id": "d1", "coupon_id": "c"})],
+        [order_change("order_info", "update", start + 2 * DAY + k, {"id": "o1", "order_status": "1002"}, {"order_status": "1001"}) for k in range(2)],
+    ]
+    out = str(tmp_path / "out")
+    write = incremental.order_facts_writer(out, str(tmp_path / "store"), lambda log: trade.order_detail_wide(log, names), every=2)
+    for number, rows in [*enumerate(batches), (3, batches[3])]:
+        write(incremental.with_order(spark.createDataFrame(rows, S.CHANGE)), number)
+    got = incremental.current(spark, out, ["order_id"]).collect()
+    table = trade.order_detail_wide(spark.createDataFrame([r for b in batches for r in b], S.CHANGE), names).collect()
+    assert sorted(map(str, got)) == sorted(map(str, table)) and len(got) == 5
+    assert {(r.order_detail_id, r.coupon_id) for r in got} == {("d1", "c"), ("d2", None), ("d3", None)}
+
+
+def test_stores_stay_small(spark, tmp_path):
+    path = tmp_path / "store"
+    store = stores.keyed_store(str(path), ["id"], ["ts"], every=4)
+    for number in range(21):
+        rows = spark.createDataFrame([(number % 3, number, f"v{number}"), (100 + number, number, "x")], "id int, ts int, v string")
+        store.append(rows, number)
+    assert len([p for p in path.iterdir() if p.is_dir()]) <= 2 * 4 + 2
+    got = {r.id: r.v for r in sinks.read_latest(spark, str(path), ["id"], ["ts"]).collect()}
+    assert got == {0: "v18", 1: "v19", 2: "v20", **{100 + k: "x" for k in range(21)}}
+
+
+def test_the_last_of_eight_updates_in_one_second(spark, tmp_path):
+    rows = [order_change("order_info", "update", 7, {"id": "o", "order_status": str(status)}, {"order_status": "0"})
+            for status in (1003, 1000, 1007, 1001, 1006, 1002, 1005, 1004)]
+    line = F.to_json(F.struct(*S.CHANGE.names)).alias("value")
+    for part in (rows[:5], rows[5:]):
+        spark.createDataFrame(part, S.CHANGE).select(line).coalesce(1).write.mode("append").parquet(str(tmp_path / "topic"))
+    log = topics.change_records(topics.read_topic(spark, str(tmp_path / "topic"), streaming=False, sequence=True))
+    newest = trade.newest_headers(trade.order_headers(log.repartition(3)))
+    assert [r.order_status for r in newest.collect()] == ["1004"]
+
+
+def test_dimension_view_over_two_batches(spark, tmp_path):
+    config = spark.createDataFrame([("part", "dim_part", "id,name", "id", None)], S.CONFIG_ROW)
+    write = sinks.dimension_writer(str(tmp_path / "dims"), lambda: config)
+    for number, (ts, name) in enumerate([(2, "new"), (1, "late")]):
+        rows = [("shop", "part", "insert", ts, {"id": "1", "name": name}, None), ("shop", "part", "insert", 1, {"id": f"n{number}", "name": "x"}, None)]
+        write(spark.createDataFrame(rows, S.CHANGE), number)
+    got = sinks.read_dimension(spark, str(tmp_path / "dims"), "dim_part", config)
+    assert got.columns == ["id", "name"]
+    assert sorted((r.id, r.name) for r in got.collect()) == [("1", "new"), ("n0", "x"), ("n1", "x")]
