@@ -1,7 +1,8 @@
 """Toxicity from a learned lexicon, matched through Levenshtein automata, weighed by context windows.
 
 Lexicon: words (ASCII lower case; letters, digits and characters beyond ASCII) of labelled documents whose share of toxic
-documents is at least ``e ** least_odds`` times that of clean ones, in ``least_docs`` toxic documents or more; the ``max_terms``
+documents is at least ``e ** least_odds`` times that of clean ones, in ``least_docs`` toxic documents or more, and in as many
+different contexts (the words before and after), so that copies of one toxic text teach nothing; the ``max_terms``
 words with the strongest evidence, as a trie. A word within one edit of a term of five letters or more is a hit: the word's
 Levenshtein automaton (its states are rows of the edit table) walks the trie and leaves branches on which no state is alive.
 
@@ -9,7 +10,7 @@ Context: a hit between quotation marks, both within ``window`` bytes of it, coun
 features are the summed and largest weights of exact and misspelled hits outside quotations, the summed weight inside, hits per
 word and its length. A logistic regression over them gives the score, so how much a quotation counts is learned too.
 
-Learning uses at most ``max_rows`` labelled documents, those with the smallest hash of the id; lexicon and weights are all that
+Learning uses at most ``max_rows`` different labelled texts, those with the smallest hash; lexicon and weights are all that
 reaches the driver besides their features. Without labelled rows, or of one class only, every score is the class's share or 0.
 Null and empty texts get the score of a text without hits. Repeated rows are scored alike.
 """
@@ -17,6 +18,7 @@ Null and empty texts get the score of a text without hits. Repeated rows are sco
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, NOT_ALNUM, distinct_spans, joined, text_bytes, text_chunks, word_spans
+from .common import LOWER, NOT_ALNUM, distinct_spans, joined, span_hashes, text_bytes, text_chunks, word_spans
 
 #: Quotation marks (fixed values).
 QUOTES = tuple(q.encode() for q in '"“”«»„')
 N_FEATURES = 8
+_LEXICONS: dict[str, Lexicon] = {}
 
 
 class Lexicon:
@@ -70,6 +73,8 @@ class Lexicon:
     def match(self, word: bytes) -> tuple[float, int] | None:
         """(weight, edits) of the nearest term, of equally near ones the heaviest."""
         if word not in self.known:
+            if len(self.known) > 500_000:
+                self.known.clear()
             self.known[word] = self._walk(word.decode("utf-8", "replace"))
         return self.known[word]
 
@@ -125,6 +130,34 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n_toxic.astype(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n_toxic", "n"])
 
 
+def _contexts(words: list[str]):
+    """Different contexts of some words in toxic and clean texts, as hashes."""
+    known = np.array(sorted(_span_hash(w) for w in words), dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches):
+            b, begins = joined(text_bytes(batch["text"]))
+            b = LOWER[b]
+            starts, ends = word_spans(b, NOT_ALNUM)
+            if not len(starts) or not len(known):
+                continue
+            h = span_hashes(b, starts, ends)
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h)
+            context = np.roll(h, 1)[at] * np.uint64(3) + np.roll(h, -1)[at]
+            doc = np.searchsorted(begins, starts[at], side="right") - 1
+            toxic = np.array(batch["toxic"].to_pylist(), dtype=np.int32)[doc]
+            raw = b.tobytes()
+            names = [raw[starts[k] : ends[k]].decode("utf-8", "replace") for k in at]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(context.view(np.int64)), pa.array(toxic)], names=["word", "context", "toxic"])
+
+    return run
+
+
+def _span_hash(word: str) -> int:
+    b = np.frombuffer(word.encode(), dtype=np.uint8)
+    return int(span_hashes(b, np.zeros(1, dtype=np.int64), np.array([len(b)]))[0])
+
+
 def _features(lexicon: Lexicon, texts: list[bytes], window: int) -> np.ndarray:
     b, begins = joined(texts, b"\n\n")
     raw = b.tobytes()
@@ -180,12 +213,13 @@ class Model:
 
 
 def learn(
-    labelled: DataFrame, max_rows: int = 20_000, max_terms: int = 2000, least_docs: int = 4, least_odds: float = 3.0, window: int = 120
+    labelled: DataFrame, max_rows: int = 12_000, max_terms: int = 2000, least_docs: int = 4, least_odds: float = 3.0, window: int = 120
 ) -> Model:
     """Model from ``labelled`` rows (doc_id, text, toxic); rows without a label are left out."""
     rows = labelled.filter("toxic IS NOT NULL").select("doc_id", F.col("text").cast("string").alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic"))
-    bound = rows.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(max_rows)
-    chosen = rows.join(bound.select("doc_id").distinct(), "doc_id", "left_semi").select("text", "toxic")
+    bound = rows.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id")).orderBy("h").limit(max_rows)
+    # At most ``max_rows`` ids.
+    chosen = rows.join(F.broadcast(bound.select("doc_id").distinct()), "doc_id", "left_semi").select("text", "toxic")
     n = {t: c for t, c in chosen.groupBy("toxic").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
@@ -193,7 +227,11 @@ def learn(
     counts = chosen.mapInArrow(_word_counts, "word string, n_toxic long, n long").groupBy("word").agg(F.sum("n_toxic").alias("a"), F.sum("n").alias("n"))
     odds = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("a") + 0.5) / (clean + 1))
     best = counts.filter((F.col("a") >= least_docs) & (F.length("word") > 3)).withColumn("odds", odds).filter(F.col("odds") >= least_odds)
-    terms = [(r.word, r.odds) for r in best.orderBy(F.desc(F.col("odds") * F.col("a")), "word").limit(max_terms).collect()]
+    found = {r.word: r.odds for r in best.orderBy(F.desc(F.col("odds") * F.col("a")), "word").limit(4 * max_terms).collect()}
+    contexts = chosen.mapInArrow(_contexts(list(found)), "word string, context long, toxic int").distinct()
+    seen = contexts.groupBy("word").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).collect()
+    share = {r.word: (r.a + 0.5) / (r.n - r.a + 0.5) * (clean + 1) / (toxic + 1) for r in seen if r.a >= least_docs}
+    terms = [(w, odds) for w, odds in found.items() if math.log(share.get(w, 1e-9)) >= least_odds][:max_terms]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms)
@@ -209,10 +247,13 @@ def learn(
 def scored(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
     """All columns of ``docs`` (with ``text``) and the score, 0 to 1, in ``column``; a column of that name is replaced."""
     docs = docs.drop(column)
-    names = docs.columns
+    names, token = docs.columns, uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(model.terms)
+        if token not in _LEXICONS:  # once for each Python worker, with the words it has looked up
+            _LEXICONS.clear()
+            _LEXICONS[token] = Lexicon(model.terms)
+        lexicon = _LEXICONS[token]
         for batch in text_chunks(batches):
             scores = model.scores(lexicon, text_bytes(batch["text"]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*names, column])
