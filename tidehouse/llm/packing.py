@@ -98,24 +98,32 @@ def _frequencies(window: int, kind: str):
 
 def _items(window: int, kind: str, idf: np.ndarray):
     """The rest of each document after its whole windows, and its place in the order of likeness."""
-    # A fixed draw for each id; the smallest draw over idf picks shared rare ids alike.
+    # A fixed draw for each id, over its idf: documents that share rare ids have the same smallest ones.
     draw = -np.log(np.random.default_rng(7).random(len(idf))) / np.maximum(idf, 1e-6)
+    by_rank = np.argsort(draw, kind="stable")
+    rank = np.empty(len(by_rank) + 1, dtype=np.int64)
+    rank[by_rank] = np.arange(len(by_rank))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, column="ids"):
-            out: list[tuple] = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
-                every = np.frombuffer(ids, dtype=kind)
-                n = len(every)
-                start = n // window * window
-                if start == n:
-                    continue
-                own = np.unique(every[start:])
-                best = own[np.argsort(draw[own])[:2]].tolist()
-                out.append((doc_id, n, start, best[0] << 32 | best[-1], every[start:].tobytes()))
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            columns = list(zip(*out)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "doc_tokens", "start", "place", "ids"])
+            every = [np.frombuffer(x, dtype=kind) for x in batch["ids"].to_pylist()]
+            n = np.array([len(x) for x in every], dtype=np.int64)
+            start = n // window * window
+            some = np.flatnonzero(start < n)
+            rests = [every[k][start[k] :] for k in some]
+            if not rests:
+                continue
+            ranks = rank[np.concatenate(rests)]
+            size = (n - start)[some]
+            first = np.cumsum(size) - size
+            least = np.minimum.reduceat(ranks, first)
+            ranks[ranks == np.repeat(least, size)] = len(by_rank)
+            second = np.minimum.reduceat(ranks, first)
+            second = np.where(second == len(by_rank), least, second)
+            place = by_rank[least].astype(np.int64) << 32 | by_rank[second]
+            rows = pa.array(some)
+            columns = [batch["doc_id"].take(rows), pa.array(n[some]), pa.array(start[some]), pa.array(place), pa.array([x.tobytes() for x in rests], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "doc_tokens", "start", "place", "ids"])
 
     return run
 

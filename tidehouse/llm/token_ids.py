@@ -55,7 +55,7 @@ def piece_starts(points: np.ndarray, kind: np.ndarray, begins: np.ndarray) -> np
 class Encoder:
     """Encodes chunks of texts; keeps the ids of at most ``remembered`` pieces."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 800_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kinds = _classes()
