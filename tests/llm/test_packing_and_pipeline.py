@@ -72,7 +72,7 @@ def test_neighbours_share_a_window(spark):
     known = sorted(t[1:] for t in Tokenizer.from_file(PATH).get_vocab() if t[0] == "Ġ" and t[1:].isalpha() and len(t) == 7)
     rows = [(k, " ".join(known[k % 8 * 100 + x] for x in rng.integers(0, 100, 40))) for k in range(160)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = packing.pack(df, window=1024).collect()
+    out = packing.pack(df, window=160).collect()
     by = {}
     for r in out:
         by.setdefault(r.sequence_id, []).append(r.doc_id % 8)
