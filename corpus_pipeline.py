@@ -18,8 +18,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below 0.3, learned from the labels of the documents at hand."""
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model, "_toxicity").filter("_toxicity < 0.3").select(*docs.columns)
 
 

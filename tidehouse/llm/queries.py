@@ -47,8 +47,7 @@ def op4_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from labels of those with a remainder other than 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_bucket("doc_id", 4) == 2
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.learn(docs.filter(~held_out).join(labels, "doc_id"))
+    model = toxicity.learn(docs.filter(~held_out), table(spark, sf_dir, "labels"))
     out = toxicity.scored(docs, model)
     score = F.col("toxicity")
     return out.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, NOT_ALNUM, distinct_spans, joined, span_hashes, text_bytes, text_chunks, word_spans
+from .common import LOWER, NOT_ALNUM, distinct_spans, joined, span_hashes, text_bytes, text_chunks, word_spans, written
 
 #: Quotation marks (fixed values).
 QUOTES = tuple(q.encode() for q in '"“”«»„')
@@ -213,13 +213,17 @@ class Model:
 
 
 def learn(
-    labelled: DataFrame, max_rows: int = 12_000, max_terms: int = 2000, least_docs: int = 4, least_odds: float = 3.0, window: int = 120
+    docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms: int = 2000, least_docs: int = 4, least_odds: float = 3.0,
+    window: int = 120,
 ) -> Model:
-    """Model from ``labelled`` rows (doc_id, text, toxic); rows without a label are left out."""
-    rows = labelled.filter("toxic IS NOT NULL").select("doc_id", F.col("text").cast("string").alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic"))
-    bound = rows.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id")).orderBy("h").limit(max_rows)
-    # At most ``max_rows`` ids.
-    chosen = rows.join(F.broadcast(bound.select("doc_id").distinct()), "doc_id", "left_semi").select("text", "toxic")
+    """Model from ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic); rows without a label are left out."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    known = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    # Ids and hashes meet the labels; of the texts only the sample's, whose ids are few enough to broadcast, are moved.
+    hashed = rows.select("doc_id", F.xxhash64("text").alias("h")).join(known, "doc_id")
+    bound = hashed.groupBy("h").agg(F.min(F.struct("doc_id", "toxic")).alias("one")).orderBy("h").limit(max_rows)
+    bound = bound.select("one.doc_id", "one.toxic").distinct()
+    chosen = written(rows.join(F.broadcast(bound), "doc_id").select("text", "toxic"), "toxicity-sample")
     n = {t: c for t, c in chosen.groupBy("toxic").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
