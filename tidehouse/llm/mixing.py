@@ -52,7 +52,7 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], max_row
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     known = labels.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = known.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_rows).select("doc_id", "domain")
-    sample = rows.join(chosen, "doc_id").select("text", "domain")
+    sample = rows.join(F.broadcast(chosen), "doc_id").select("text", "domain")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
