@@ -105,13 +105,13 @@ def test_quotations_count_apart():
 
 
 def test_toxicity_of_odd_rows(odd_docs, no_docs, docs, labels):
-    model = toxicity.learn(docs.join(labels, "doc_id"))
+    model = toxicity.learn(docs, labels)
     out = toxicity.scored(odd_docs, model)
     assert out.columns == [*odd_docs.columns, "toxicity"]
     rows = out.collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.toxicity <= 1 for r in rows)
     assert toxicity.scored(no_docs, model).count() == 0
-    nothing = toxicity.learn(no_docs.withColumn("toxic", F.lit(1)))
+    nothing = toxicity.learn(no_docs, labels)
     assert {round(r.toxicity, 6) for r in toxicity.scored(odd_docs, nothing).collect()} == {0.0}
 
 
@@ -170,13 +170,17 @@ def check_base(df, **options):
     return got
 
 
-def test_lm_beats_the_base_on_held_out_documents(docs):
-    df = docs.withColumn("t", id_bucket("doc_id", 10) != 0)
-    got = check_base(df, steps=300)
-    held = [r for r in got if not r.train]
+def test_lm_beats_the_base_on_held_out_documents(spark):
+    rows = QUERIES["op3_attention_lm"](spark, SMALL).collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == 1000 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in rows)
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_base_is_exact(docs):
+    check_base(docs.withColumn("t", id_bucket("doc_id", 10) != 0), steps=20)
+
+
 def test_lm_of_odd_rows(odd_docs, no_docs):
     check_base(odd_docs.withColumn("t", F.coalesce(F.col("doc_id") % 2 == 1, F.lit(False))), steps=5)
     check_base(odd_docs.withColumn("t", F.lit(False)), steps=5)
@@ -193,12 +197,24 @@ def small_model():
 
 
 def test_lm_scores_are_log_probabilities():
-    """Each id's distribution adds up to one, and a plain loop over positions gives the same score."""
+    """The ids' probabilities add up to one, and a plain loop over positions gives the same score."""
     model, texts = small_model()
-    shares = np.bincount(model.classes, weights=np.exp(model.share.astype(float)))
-    assert np.allclose(shares[shares > 0], 1, atol=1e-4)
     got = model.scores(texts, model.prepared())
     p = model.p
+
+    def log_softmax(z):
+        return z - z.max() - np.log(np.exp(z - z.max()).sum())
+
+    def distribution(h):
+        """Log probability of every id."""
+        of_class = log_softmax(h @ p["u"] + p["b"])
+        out = of_class[model.classes] + model.share
+        for k in range(len(model.first) - 1):
+            members = np.flatnonzero(model.classes == k)
+            own = log_softmax(h @ p["w"][:, model.first[k] : model.first[k + 1]] + p["c"][model.first[k] : model.first[k + 1]])
+            out[members] += own[model.member[members] - model.first[k]]
+        return out
+
     for text, score in zip(texts, got):
         inputs = np.concatenate(([model.end], text))
         total = 0.0
@@ -208,9 +224,10 @@ def test_lm_scores_are_log_probabilities():
             x = p["e"][model.row[inputs[begin : t + 1]]]
             s = (x[-1] @ p["q"]) @ (x @ p["k"]).T * attention_lm.WIDTH**-0.5 + p["r"][np.arange(len(x))[::-1]]
             a = np.exp(s - s.max())
-            h = x[-1] + (a / a.sum()) @ (x @ p["v"]) @ p["o"]
-            z = h @ p["u"] + p["b"]
-            total += z[model.classes[text[t]]] - np.log(np.exp(z - z.max()).sum()) - z.max() + model.share[text[t]]
+            every = distribution(x[-1] + (a / a.sum()) @ (x @ p["v"]) @ p["o"])
+            total += every[text[t]]
+            if t < 3:
+                assert np.exp(every.astype(float)).sum() == pytest.approx(1, abs=1e-3)
         assert score == pytest.approx(total, rel=1e-3)
 
 
