@@ -78,18 +78,19 @@ def _whole_windows(window: int, kind: str):
     return run
 
 
-def _frequencies(window: int, kind: str):
+def _frequencies(window: int, kind: str, vocabulary: int):
     """Items of a partition that hold each id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << 16, dtype=np.int64)
+        counts = np.zeros(vocabulary, dtype=np.int64)
         for batch in text_chunks(batches, column="ids"):
-            for ids in batch["ids"].to_pylist():
-                every = np.frombuffer(ids, dtype=kind)
-                own = np.unique(every[len(every) // window * window :])
-                if len(own) and own[-1] >= len(counts):
-                    counts = np.concatenate([counts, np.zeros(int(own[-1]) + 1, dtype=np.int64)])
-                counts[own] += 1
+            rests = [np.frombuffer(x, dtype=kind) for x in batch["ids"].to_pylist()]
+            rests = [x[len(x) // window * window :] for x in rests]
+            for low in range(0, len(rests), 200):
+                some = rests[low : low + 200]
+                held = np.zeros((len(some), vocabulary), dtype=bool)
+                held[np.repeat(np.arange(len(some)), [len(x) for x in some]), np.concatenate(some)] = True
+                counts += np.count_nonzero(held, axis=0)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["id", "n"])
 
@@ -129,28 +130,45 @@ def _items(window: int, kind: str, idf: np.ndarray):
 
 
 class Shard:
-    """Inverted index over items, with BM25 weights."""
+    """Inverted index over items, with BM25 weights.
+
+    The postings of an id that a sixteenth of the items hold are a row with a weight for each item; those of the others are lists.
+    """
 
     def __init__(self, items: list[np.ndarray], idf: np.ndarray, mean: float, k1: float = 1.2, b: float = 0.75):
-        self.terms, owners, weights = [], [], []
-        for k, ids in enumerate(items):
-            term, count = np.unique(ids, return_counts=True)
-            self.terms.append(term)
-            owners.append(np.full(len(term), k, dtype=np.int32))
-            weights.append(idf[term] * count * (k1 + 1) / (count + k1 * (1 - b + b * len(ids) / mean)))
-        every = np.concatenate(self.terms)
-        order = np.argsort(every, kind="stable")
-        self.owners, self.weights = np.concatenate(owners)[order], np.concatenate(weights)[order]
-        self.known, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
         self.size = len(items)
+        sizes = np.array([len(ids) for ids in items], dtype=np.int64)
+        owner = np.repeat(np.arange(self.size, dtype=np.int64), sizes)
+        # One entry for each id of each item, by item and id.
+        key, count = np.unique(owner * len(idf) + np.concatenate(items), return_counts=True)
+        owner, term = key // len(idf), key % len(idf)
+        length = k1 * (1 - b + b * sizes / mean)
+        weight = idf[term] * count * (k1 + 1) / (count + length[owner])
+        self.known, place = np.unique(term, return_inverse=True)
+        self.terms = np.split(place, np.searchsorted(owner, np.arange(1, self.size)))
+        number = np.bincount(place, minlength=len(self.known))
+        wide = number * 16 >= self.size
+        self.row = np.where(wide, np.cumsum(wide) - 1, -1)
+        self.rows = np.zeros((int(wide.sum()), self.size), dtype=np.float32)
+        self.rows[self.row[place[wide[place]]], owner[wide[place]]] = weight[wide[place]]
+        narrow = np.flatnonzero(~wide[place])
+        order = narrow[np.argsort(place[narrow], kind="stable")]
+        self.owners, self.weights = owner[order], weight[order]
+        self.count = np.where(wide, 0, number)
+        self.first = np.cumsum(self.count) - self.count
 
     def scores(self, k: int) -> np.ndarray:
         """BM25 score of every item for the terms of item ``k``."""
-        at = np.searchsorted(self.known, self.terms[k])
+        at = self.terms[k]
+        row = self.row[at]
+        out = self.rows[row[row >= 0]].sum(axis=0, dtype=np.float64)
+        at = at[row < 0]
         first, count = self.first[at], self.count[at]
         total = np.cumsum(count)
-        postings = np.arange(total[-1]) + np.repeat(first - (total - count), count)
-        return np.bincount(self.owners[postings], weights=self.weights[postings], minlength=self.size)
+        if len(at):
+            postings = np.arange(total[-1]) + np.repeat(first - (total - count), count)
+            out += np.bincount(self.owners[postings], weights=self.weights[postings], minlength=self.size)
+        return out
 
 
 class Packer:
@@ -240,9 +258,10 @@ def pack(docs: DataFrame, window: int = 2048, shard_items: int = 512, end_id: in
     """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids) that hold every id of ``docs`` (doc_id, text) once."""
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     # Ids take two bytes between the stages if the vocabulary allows it.
-    kind = "<u2" if max(Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 and end_id < 1 << 16 else "<u4"
+    largest = max(*Tokenizer.from_file(path).get_vocab().values(), end_id)
+    kind = "<u2" if largest < 1 << 16 else "<u4"
     tokens = written(tokenized(docs, path, end_id, kind), "tokens")
-    counts = tokens.mapInArrow(_frequencies(window, kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    counts = tokens.mapInArrow(_frequencies(window, kind, largest + 1), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     rest = F.expr(f"length(ids) div {kind[2]} % {window}")
     size, total = tokens.agg(F.count_if(rest > 0), F.sum(rest)).first()
     ids, n = counts["id"].to_numpy(), counts["n"].to_numpy()

@@ -109,6 +109,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         points = [np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32) for t in texts]
+        every = np.concatenate([*points, np.zeros(0, dtype=np.uint32)])
+        if all(texts) and len(every) and int(every.max()) < len(self.kinds) and not (self.kinds[every] == _UNSURE).any():
+            return self._fast("".join(texts), points)
         sure = [len(p) > 0 and int(p.max()) < len(self.kinds) and not (self.kinds[p] == _UNSURE).any() for p in points]
         out: list = [np.zeros(0, dtype=np.uint32)] * len(texts)
         rest = [k for k, (s, t) in enumerate(zip(sure, texts)) if t and not s]
