@@ -31,11 +31,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: shingles of five words, 256 bits, at most 50 of them different.
+    """One document of each group linked by similarities of 0.8 or more on shingles of five words.
 
-    A similarity of 0.8 on such shingles means 39 different bits on average, with a deviation of 5.5; one of 0.6 means 59.
+    Candidates are pairs within 64 of 256 bits: a similarity of 0.8 means 39 different bits on average, with a deviation of 5.5.
     """
-    return simhash.without_near_duplicates(docs, width=5, n_words=4, tables=simhash.FOUR_TABLES, max_bits=50)
+    return simhash.without_near_duplicates(docs, width=5, n_words=4, tables=simhash.SIX_TABLES, max_bits=64, least=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from tidehouse.llm import block_naming, components, piecewise_hash, simhash
 
 ASCII = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -212,3 +213,39 @@ def test_piecewise_shape(text):
     size, one, two = piecewise_hash.fingerprint(text).split(":")
     assert int(size) >= 4 and len(one) <= 64 and len(two) <= 64
     assert (not text) == (one == "")
+
+
+def test_similarity_decides_near_copies(spark):
+    """Pairs at 0.6, 0.7, 0.79, 0.81 and 0.9, a hot family, and texts of one fingerprint: the groups of brute force."""
+    rng = np.random.default_rng(6)
+    rows = []
+
+    def add(words):
+        rows.append((len(rows), " ".join(words)))
+
+    for likeness in (0.6, 0.7, 0.79, 0.81, 0.9) * 8:
+        words = [f"w{x}" for x in rng.integers(0, 1 << 40, 2000)]
+        add(words)
+        # An exchanged tail of m of n shingles leaves (n - m) / (n + m).
+        m = round(1996 * (1 - likeness) / (1 + likeness))
+        add(words[: 2000 - m] + [f"v{x}" for x in rng.integers(0, 1 << 40, m)])
+    base = [f"w{x}" for x in rng.integers(0, 1 << 40, 400)]
+    for _ in range(60):
+        words = list(base)
+        for at in rng.choice(400, 8, replace=False):
+            words[at] = f"v{rng.integers(0, 1 << 40)}"
+        add(words)
+    add("a b c d e f".split() * 100)
+    add("a b c d e f".split() * 100 + ["g"])
+    sets = {i: set(simhash.shingles(t.encode(), 5).tolist()) for i, t in rows}
+    component = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                old, new = max(component[i], component[j]), min(component[i], component[j])
+                component = {k: new if c == old else c for k, c in component.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df, 5, 4, simhash.SIX_TABLES, 2, 64, 0.8).collect()}
+    assert got == component
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()}
+    assert kept == {i for i, c in component.items() if i == c}
