@@ -23,10 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later occurrences of three-line windows; a document that loses all its lines goes."""
-    out = line_dedup.without_repeats(docs)
+    """Texts without later occurrences of three lines, or units of long lines; a document that loses all its lines goes."""
+    out = line_dedup.without_repeats(docs, long_words=line_dedup.LONG_WORDS)
     out = out.filter("_lines = 0 OR _lines_removed < _lines")
-    length = F.when(F.col("_lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    length = F.when(F.col("_lines_removed") + F.col("_lines_cut") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", length).select(*docs.columns)
 
 

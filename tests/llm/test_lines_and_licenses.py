@@ -52,6 +52,25 @@ def test_lines_of_odd_rows(odd_docs, no_docs):
     assert line_dedup.without_repeats(no_docs).count() == 0
 
 
+def test_passages_inside_long_lines(spark):
+    """A passage of 50 words goes from later lines, but for its edges; own words and short lines stay, also without spaces."""
+    passage = [f"p{k}x" for k in range(50)]
+    signs = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(60))
+    rows = []
+    for k in range(40):
+        own = [f"o{k}w{j}" for j in range(60)]
+        rows.append((k, " ".join(own[:30] + passage + own[30:]) + f"\n\nown {k}\n" + chr(0x3041 + k) * 20 + signs))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in line_dedup.without_repeats(df, long_words=line_dedup.LONG_WORDS).collect()}
+    assert got[0].text == rows[0][1] and got[0]._lines_cut == 0
+    for k in range(1, 40):
+        words = got[k].text.split()
+        assert [w for w in words if w[0] == "o" and w != "own"] == [f"o{k}w{j}" for j in range(60)]
+        assert sum(w in set(passage) for w in words) <= 25 and f"\n\nown {k}\n" in got[k].text
+        assert sum(c in set(signs) for c in got[k].text) <= 40
+        assert (got[k]._lines, got[k]._lines_removed, got[k]._lines_cut) == (3, 0, 2)
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

@@ -31,8 +31,8 @@ def op1_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without later occurrences of three-line windows."""
-    out = line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """All documents without later occurrences of windows of three lines, or of three units of long lines."""
+    out = line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), long_words=line_dedup.LONG_WORDS)
     return out.select("doc_id", "text", F.col("_lines").alias("lines"), F.col("_lines_removed").alias("lines_removed"))
 
 
