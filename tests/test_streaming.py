@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidehouse import schemas as S
 from tidehouse.operators import routing
 from tidehouse.sources import topics
 from tidehouse.plans import trade
-from tidehouse.streaming import incremental, jobs, sinks, stores
+from tidehouse.streaming import incremental, jobs, sinks, stores, warehouse
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 DAY = 86400
@@ -246,6 +247,23 @@ def test_late_order_rows_correct_the_facts(spark, tmp_path):
     assert {(r.order_detail_id, r.coupon_id) for r in got} == {("d1", "c"), ("d2", None), ("d3", None)}
 
 
+@pytest.mark.parametrize("second_day", [3, 6])
+def test_refunds_of_an_order_days_apart(spark, tmp_path, second_day):
+    """The first refund stays after its records have gone, and an order touched within the retention is kept whole."""
+    names = spark.createDataFrame([], S.DICTIONARY)
+    start = int(BASE.timestamp())
+
+    def refund(key, order, day):
+        return order_change("order_refund_info", "insert", start + day * DAY, {"id": key, "order_id": order, "sku_id": key, "refund_type": "1"})
+
+    days = [[refund("r1", "o1", 0)], [refund("x", "o2", 4)], [refund("r2", "o1", second_day)], [refund("y", "o3", 6)], [refund("r3", "o1", 7)]]
+    out = str(tmp_path / "order_refund")
+    write = incremental.order_facts_writer(out, str(tmp_path / "store"), lambda log: trade.order_refund_wide(log, names), every=2)
+    for number, rows in enumerate(days):
+        write(incremental.with_order(spark.createDataFrame(rows, S.CHANGE)), number)
+    assert sorted(r.id for r in warehouse.latest(spark, "order_refund", str(tmp_path)).collect()) == ["r1", "r2", "r3", "x", "y"]
+
+
 def test_stores_stay_small(spark, tmp_path):
     path = tmp_path / "store"
     store = stores.keyed_store(str(path), ["id"], ["ts"], every=4)

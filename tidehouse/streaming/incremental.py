@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidehouse.operators.keyed import first_per_day, newest_per_key
 from tidehouse.streaming import sinks
-from tidehouse.streaming.stores import BATCH, Store, recent_store
+from tidehouse.streaming.stores import BATCH, Store, touched_store
 
 DAY_S = 86400
 
@@ -101,8 +101,9 @@ def touched_writer(out: str, store: Store, keys: Sequence[str], compute: Callabl
 def current(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     """The rows that the latest batch with a result for a key wrote for it."""
     rows = spark.read.parquet(out)
-    latest = rows.groupBy(*keys).agg(F.max("batch").alias("batch"))
-    return rows.join(latest, [*keys, "batch"], "left_semi").select(*[c for c in rows.columns if c != "batch"])
+    latest = rows.groupBy(*keys).agg(F.max("batch").alias("batch")).toDF(*(f"_{c}" for c in [*keys, "batch"]))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*keys, "batch"]]
+    return rows.join(latest, same, "left_semi").select(*[c for c in rows.columns if c != "batch"])
 
 
 # --- trade ---------------------------------------------------------------------------------------
@@ -119,10 +120,11 @@ def order_facts_writer(
 ) -> sinks.BatchWriter:
     """Facts of the orders that a micro-batch touches, by a batch function of ``plans.trade`` over their change records.
 
-    Change records stay ``keep_s`` seconds of event time. Several records of one batch go by their own version; of equal versions the
+    All change records of an order stay until ``keep_s`` seconds of event time after its newest one. What comes later gives further
+    facts, so ``current`` goes by the fact's own id where an order may have more of them. Several records of one batch go by their own version; of equal versions the
     later arrival wins if the source gave a sequence.
     """
-    return touched_writer(out, recent_store(store, "ts", keep_s, every), ["order_id"], lambda rows: compute(rows.drop("order_id", BATCH)))
+    return touched_writer(out, touched_store(store, ["order_id"], "ts", keep_s, every), ["order_id"], lambda rows: compute(rows.drop("order_id", BATCH)))
 
 
 def window_writer(

@@ -81,6 +81,19 @@ def keyed_store(path: str, keys: Sequence[str], version: Sequence[str], every: i
     return Store(path, lambda rows: newest_per_key(rows, keys, [*version, BATCH]), every)
 
 
+def touched_store(path: str, keys: Sequence[str], seconds: str, keep_s: int, every: int = 20) -> Store:
+    """All rows of each key whose newest epoch second is at most ``keep_s`` older than the newest; other keys go with the next snapshot."""
+
+    def recent(rows: DataFrame) -> DataFrame:
+        newest = rows.agg(F.max(seconds)).first()[0]
+        if newest is None:
+            return rows
+        live = rows.groupBy(*keys).agg(F.max(seconds).alias("_newest")).filter(F.col("_newest") >= newest - keep_s)
+        return rows.join(live.select(*keys), list(keys), "left_semi")
+
+    return Store(path, recent, every)
+
+
 def recent_store(path: str, seconds: str, keep_s: int, every: int = 20) -> Store:
     """Rows whose epoch second is at most ``keep_s`` older than the newest; older ones go with the next snapshot."""
 

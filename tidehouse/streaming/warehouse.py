@@ -62,7 +62,7 @@ def _registered(changes: DataFrame) -> DataFrame:
     return actions.registrations(changes).withColumn("event_ts", F.timestamp_seconds("ts"))
 
 
-ORDER, WINDOW = ("order_id",), ("_window",)
+ORDER, REFUND, WINDOW = ("order_id",), ("order_id", "id"), ("_window",)
 JOBS: dict[str, Job] = {
     "unique_visitors": Job(("pages",), traffic.entry_pages, _first_of_day(["mid"])),
     "user_jumps": Job(("pages",), lambda pages: pages, lambda out, store, tables: jobs.user_jumps_writer(out, store)),
@@ -72,8 +72,8 @@ JOBS: dict[str, Job] = {
     "first_carts": Job(("changes",), lambda changes: changes, _carts),
     "order_detail": Job(("changes",), incremental.with_order, _orders(trade.order_detail_wide), ORDER),
     "pay_detail": Job(("changes",), incremental.with_order, _orders(trade.pay_detail_of), ORDER),
-    "order_refund": Job(("changes",), incremental.with_order, _orders(trade.order_refund_wide), ORDER),
-    "refund_pay": Job(("changes",), incremental.with_order, _orders(trade.refund_pay_wide), ORDER),
+    "order_refund": Job(("changes",), incremental.with_order, _orders(trade.order_refund_wide), REFUND),
+    "refund_pay": Job(("changes",), incremental.with_order, _orders(trade.refund_pay_wide), REFUND),
     "page_view_window": Job(
         ("pages", "unique_visitors", "user_jumps"), metrics.traffic_union, _windows(metrics.page_view_window), WINDOW
     ),
