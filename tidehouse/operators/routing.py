@@ -48,12 +48,16 @@ def routed(changes: DataFrame, config: DataFrame) -> DataFrame:
             "type",
             "ts",
             pruned(F.col("data"), F.col("sink_columns")).alias("data"),
+            *[c for c in ["seq"] if c in changes.columns],
         )
     )
 
 
 def newest_dimension_rows(rows: DataFrame) -> DataFrame:
-    """Current content of all dimension tables: the newest row per target and key."""
+    """Current content of all dimension tables: the newest row per target and key.
+
+    Of rows of one second the last to arrive wins where the records carry their sequence.
+    """
     return newest_per_key(rows, ["sink_table", "pk"], ["ts", "type"])
 
 

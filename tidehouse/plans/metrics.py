@@ -150,6 +150,26 @@ def order_lines_for_window(lines: DataFrame) -> DataFrame:
     )
 
 
+def spu_order_parts(enriched: DataFrame, signs: Column | None = None) -> DataFrame:
+    """Lines and amount per window, product family, order and sku; parts add up, and rows with a negative sign subtract."""
+    one = F.lit(1) if signs is None else signs
+    amount = F.when(one < 0, -F.col("amount")).otherwise(F.col("amount"))
+    parts = enriched.groupBy(F.window("event_ts", "10 seconds").alias("w"), *PRODUCT_IDS, "order_id", "sku_id").agg(
+        F.sum(one.cast("long")).alias("lines"), F.sum(amount).alias("amount")
+    )
+    text = [F.date_format(f"w.{side}", S.SECOND_FORMAT).alias(name) for side, name in (("start", "stt"), ("end", "edt"))]
+    return parts.select(*text, *PRODUCT_IDS, "order_id", "sku_id", "lines", "amount")
+
+
+def spu_order_of_parts(parts: DataFrame) -> DataFrame:
+    """The window table of ``spu_order_window`` from added-up parts."""
+    keys = ["stt", "edt", *PRODUCT_IDS]
+    per_order = parts.filter("lines > 0").groupBy(*keys, "order_id").agg(F.sum("amount").alias("amount"), F.min("sku_id").alias("sku_id"))
+    return per_order.groupBy(*keys).agg(
+        F.min("sku_id").alias("sku_id"), F.count("order_id").alias("order_ct"), F.sum("amount").cast("double").alias("order_amount")
+    )
+
+
 def spu_order_window(enriched: DataFrame) -> DataFrame:
     """Orders and amount per window, user and product family, by ids.
 

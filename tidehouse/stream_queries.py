@@ -16,14 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidehouse import schemas as S
 from tidehouse.operators import records
-from tidehouse.operators.keyed import newest_per_key
 from tidehouse.plans import actions, dimensions, metrics, trade, traffic
 from tidehouse.queries import TIE, WIDE_LOG, _flat_old, query, spu_names
 from tidehouse.session import ROCKSDB, run_dir, settings, state_partitions
 from tidehouse.sources import samples, topics
-from tidehouse.streaming import incremental, jobs, sinks
+from tidehouse.streaming import incremental, jobs, sinks, warehouse
 from tidehouse.streaming.state import first_of_day_stream
-from tidehouse.streaming.stores import Store
 
 
 # The test tables' events come in order.
@@ -281,12 +279,10 @@ def change_stream(spark: SparkSession, sf_dir: str, *only: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str, name: str, tables: Sequence[str], compute) -> DataFrame:
-    """Facts of all orders, written by micro-batches; records of ten years are kept."""
+    """Facts of all orders, written by micro-batches as a change log and replayed."""
     run = Run(spark, name)
     names = samples.dictionary(spark, sf_dir)
-    writer = incremental.order_facts_writer(
-        run.path("facts"), run.path("changes"), lambda log: compute(log, names), keep_s=3650 * incremental.DAY_S
-    )
+    writer = incremental.order_facts_writer(run.path("facts"), run.path("changes"), lambda log: compute(log, names))
     run.each(incremental.with_order(change_stream(spark, sf_dir, *tables)), "facts", writer)
     return incremental.current(spark, run.path("facts"), ["order_id"])
 
@@ -328,53 +324,47 @@ def stream_refund_pay(spark, sf_dir):
     return _facts(spark, sf_dir, "refund-pay", tables, trade.refund_pay_wide)
 
 
+def lookups(spark: SparkSession, sf_dir: str) -> warehouse.Tables:
+    """The lookup tables of the warehouse's jobs."""
+    return {
+        "dictionary": lambda: samples.dictionary(spark, sf_dir), "config": lambda: samples.dim_config(spark),
+        "sku": lambda: samples.product_tables(spark, sf_dir)["sku"],
+    }
+
+
+class Warehouse(Run):
+    """Jobs of the warehouse below one root, each fed by streams of the tables or by the job before it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, **inputs: DataFrame) -> None:
+        super().__init__(spark, name)
+        self.inputs, self.tables = inputs, lookups(spark, sf_dir)
+
+    def run(self, *names: str) -> DataFrame:
+        """Runs the jobs in turn and gives the last one's table."""
+        for name in names:
+            self.finish(lambda: warehouse.start(name, self.inputs, self.root, self.tables))
+            if not warehouse.JOBS[name].rule:
+                self.inputs[name] = warehouse.follow(self.spark, name, self.root)
+        return warehouse.latest(self.spark, names[-1], self.root, self.tables)
+
+
 @query
 def stream_trade_spu_window(spark, sf_dir):
     """Orders and amounts per window, user and product family, from the change log on.
 
-    Order facts are the first hop; the second keeps the newest version of each line, looks the
-    product up anew in every micro-batch and recomputes the windows it touches.
+    Order facts are the first hop, a change log; the second looks the product up anew in every
+    micro-batch, adds what comes and subtracts what is taken back.
     """
-    run = Run(spark, "trade-spu-window")
-    names, dims = samples.dictionary(spark, sf_dir), samples.product_tables(spark, sf_dir)
-    facts = incremental.order_facts_writer(
-        run.path("facts"), run.path("changes"),
-        lambda log: trade.order_add(trade.order_detail_wide(log, names, offers=False)), keep_s=3650 * incremental.DAY_S,
-    )
-    changes = change_stream(spark, sf_dir, "order_info", "order_detail")
-    run.each(incremental.with_order(changes), "facts", facts)
-
-    def count(lines: DataFrame) -> DataFrame:
-        newest = newest_per_key(lines, ["order_detail_id"], ["batch", "_batch"])
-        ready = metrics.order_lines_for_window(newest)
-        named = dimensions.with_product(ready, samples.product_tables(spark, sf_dir)["sku"], ["order_id"])
-        return metrics.spu_order_window(named).withColumn("_window", F.to_timestamp("stt"))
-
-    lines = run.stream("facts").select("order_detail_id", "order_id", "sku_id", "user_id", "split_total_amount", "order_create_time", "batch")
-    timed = lines.withColumn("event_ts", F.try_to_timestamp("order_create_time", F.lit(S.SECOND_FORMAT)))
-    writer = incremental.window_writer(run.path("windows"), Store(run.path("lines")), "event_ts", count)
-    run.each(timed.filter("event_ts IS NOT NULL"), "windows", writer)
-    return spu_names(incremental.current(spark, run.path("windows"), ["_window"]).drop("_window"), dims)
+    changes = change_stream(spark, sf_dir, *WIDE_LOG)
+    counted = Warehouse(spark, sf_dir, "trade-spu-window", changes=changes).run("order_detail", "trade_window")
+    return spu_names(counted, samples.product_tables(spark, sf_dir))
 
 
 @query
 def stream_cart_uu_window(spark, sf_dir):
     """Users who added to their cart for the first time that day, per ten seconds, from the log on."""
-    run = Run(spark, "cart-uu-window")
-    first = jobs.cart_first_of_day_writer(run.path("first"), ["id"])
-    writer = sinks.refreshed_writer(
-        lambda: samples.dictionary(spark, sf_dir),
-        lambda batch, names: metrics.with_cart_time(trade.cart_add(batch, names)), first,
-    )
-    run.each(change_stream(spark, sf_dir, "cart_info"), "first", writer)
-
-    def count(rows: DataFrame) -> DataFrame:
-        return metrics.cart_user_window(rows).withColumn("_window", F.to_timestamp("stt"))
-
-    windows = incremental.window_writer(run.path("windows"), Store(run.path("rows")), "event_ts", count)
-    firsts = run.stream("first").select("user_id", "event_ts").filter("event_ts IS NOT NULL")
-    run.each(firsts, "windows", windows)
-    return incremental.current(spark, run.path("windows"), ["_window"]).drop("_window")
+    changes = change_stream(spark, sf_dir, "cart_info")
+    return Warehouse(spark, sf_dir, "cart-uu-window", changes=changes).run("first_carts", "cart_window")
 
 
 # --- sinks -----------------------------------------------------------------------------------------

@@ -19,7 +19,8 @@ from tidehouse.operators.visits import new_visitor_days, with_true_flag
 from tidehouse.plans import metrics, traffic, trade
 from tidehouse.streaming import sinks
 from tidehouse.streaming import incremental
-from tidehouse.streaming.stores import Folder, Store, keyed_store
+from tidehouse.streaming.buckets import BucketStore
+from tidehouse.streaming.stores import Folder
 
 DELAY = "2 seconds"
 TRAFFIC_DELAY = "13 seconds"
@@ -58,6 +59,8 @@ def user_jumps_writer(
             if seen is not None:
                 before = seen - delay
                 rows = waiting.unionByName(batch.filter(us >= before))
+                late = batch.filter(us < before)
+                late.write.mode("overwrite").parquet(sinks.batch_folder(incremental.late_folder(out), batch_id))
         rows = rows.persist()
         try:
             seen = latest(rows)
@@ -80,25 +83,29 @@ def user_jumps_writer(
     return write
 
 
-def new_visitor_writer(out: str, known: str, tie: Sequence[str] = (), every: int = 20) -> sinks.BatchWriter:
+def new_visitor_writer(out: str, known: str, tie: Sequence[str] = (), every: int = 8) -> sinks.BatchWriter:
     """Corrected new-visitor flags per micro-batch, with the new days in a table.
 
     The first micro-batch that has a visitor decides, by its first record in event time. A busy
-    visitor is cut as on tables.
+    visitor is cut as on tables. Of the known days only the buckets of the batch's visitors are read.
     """
-    store = Store(known, every=every)
+    store = BucketStore(known, ["mid"], every=every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, rows = batch.sparkSession, batch.persist()
+        rows = batch.persist()
         try:
             fresh = new_visitor_days(rows, "ts", tie)
-            earlier = store.before(spark, batch_id)
+            earlier = store.touched(rows, batch_id)
+            days = fresh
             if earlier is not None:
-                fresh = fresh.join(earlier.select("mid"), ["mid"], "left_anti")
-            store.append(fresh, batch_id)
-            days = store.before(spark, batch_id + 1).drop("_batch")
+                earlier = earlier.select("mid", "new_day").persist()
+                fresh = fresh.join(earlier.select(F.col("mid").alias("_mid")), F.col("mid").eqNullSafe(F.col("_mid")), "left_anti")
+                days = fresh.unionByName(earlier)
             fixed = with_true_flag(rows, days, "ts", tie)
             fixed.write.mode("overwrite").parquet(sinks.batch_folder(out, batch_id))
+            store.append(fresh, batch_id)
+            if earlier is not None:
+                earlier.unpersist()
         finally:
             rows.unpersist()
 
@@ -137,7 +144,7 @@ def known_entries(pages: DataFrame) -> DataFrame:
 
 def user_logins_writer(out: str, last: str, tie: Sequence[str] = ()) -> sinks.BatchWriter:
     """Daily logins; each user's last day is kept below ``last``. Batches are of ``known_entries``."""
-    return incremental.logins_writer(out, keyed_store(last, ["uid"], ["day"]), tie=tie)
+    return incremental.logins_writer(out, incremental.last_day_store(last), tie=tie)
 
 
 def user_login_window_stream(daily: DataFrame, delay: str = DELAY) -> DataFrame:

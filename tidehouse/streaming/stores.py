@@ -38,6 +38,27 @@ class Folder:
     def remove(self, name: str) -> None:
         self.files.delete(self.child(name), True)
 
+    def text(self, name: str) -> str | None:
+        """A small file's text; None without the file."""
+        if not self.files.exists(self.child(name)):
+            return None
+        stream = self.files.open(self.child(name))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str, replace: bool = False) -> bool:
+        """Writes a small file; without ``replace`` only if there is none yet. Whether it was written."""
+        if not replace and self.files.exists(self.child(name)):
+            return False
+        stream = self.files.create(self.child(name), replace)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        return True
+
 
 class Store:
     """Rows of all micro-batches below ``path``; ``compact`` reduces them for a snapshot after ``every`` batches."""
@@ -79,26 +100,3 @@ class Store:
 def keyed_store(path: str, keys: Sequence[str], version: Sequence[str], every: int = 20) -> Store:
     """Newest row of each key; of equal versions the later batch's."""
     return Store(path, lambda rows: newest_per_key(rows, keys, [*version, BATCH]), every)
-
-
-def touched_store(path: str, keys: Sequence[str], seconds: str, keep_s: int, every: int = 20) -> Store:
-    """All rows of each key whose newest epoch second is at most ``keep_s`` older than the newest; other keys go with the next snapshot."""
-
-    def recent(rows: DataFrame) -> DataFrame:
-        newest = rows.agg(F.max(seconds)).first()[0]
-        if newest is None:
-            return rows
-        live = rows.groupBy(*keys).agg(F.max(seconds).alias("_newest")).filter(F.col("_newest") >= newest - keep_s)
-        return rows.join(live.select(*keys), list(keys), "left_semi")
-
-    return Store(path, recent, every)
-
-
-def recent_store(path: str, seconds: str, keep_s: int, every: int = 20) -> Store:
-    """Rows whose epoch second is at most ``keep_s`` older than the newest; older ones go with the next snapshot."""
-
-    def recent(rows: DataFrame) -> DataFrame:
-        newest = rows.agg(F.max(seconds)).first()[0]
-        return rows if newest is None else rows.filter(F.col(seconds) >= newest - keep_s)
-
-    return Store(path, recent, every)

@@ -1,8 +1,8 @@
 """The warehouse's streaming jobs by table name: which streams a job reads, what it selects, and how it writes.
 
-``start`` runs one of them below a root folder: results in ``<root>/<table>``, what it keeps in ``<root>/<table>-store``, its checkpoint
-in ``<root>/checkpoint-<table>``. A job may be stopped and started again at any time; ``follow`` reads its results as the input of
-the next hop, ``latest`` as a table.
+``start`` runs one of them below a root folder: results in ``<root>/<table>``, its commits in ``<root>/<table>-commits``, what it keeps
+in ``<root>/<table>-store``, its checkpoint in ``<root>/checkpoint-<table>``. A job may be stopped and started again at any time;
+``follow`` gives its committed batches as the input of the next hop, each once, and ``latest`` reads its results as a table.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidehouse.plans import actions, metrics, trade, traffic
-from tidehouse.streaming import incremental, jobs, sinks
-from tidehouse.streaming.stores import Store
+from tidehouse.operators import records, routing
+from tidehouse.plans import actions, dimensions, metrics, trade, traffic
+from tidehouse.streaming import changelog, hops, incremental, jobs, sinks
+from tidehouse.streaming.incremental import WindowRule, additive
 
 Tables = dict[str, Callable[[], DataFrame]]
 Writer = Callable[[str, str, Tables], sinks.BatchWriter]
@@ -24,29 +25,35 @@ Writer = Callable[[str, str, Tables], sinks.BatchWriter]
 
 @dataclass(frozen=True)
 class Job:
-    """``sources``: names of input streams; ``select``: from them to the job's rows; ``keys``: of results that replace earlier ones."""
+    """``sources``: names of input streams; ``select``: from them to the job's rows; ``rule``: of a window table, with ``ts``, the
+    column of its rows' time."""
 
     sources: tuple[str, ...]
     select: Callable[..., DataFrame]
-    writer: Writer
-    keys: tuple[str, ...] = ()
+    writer: Writer | None = None
+    rule: Callable[[Tables], WindowRule] | None = None
+    ts: str = "ts"
 
 
 def _first_of_day(keys: list[str], ts: str = "ts") -> Writer:
     return lambda out, store, tables: incremental.first_of_day_writer(out, keys, ts)
 
 
-def _orders(compute: Callable[[DataFrame, DataFrame], DataFrame]) -> Writer:
+def _orders(compute: Callable[[DataFrame, DataFrame], DataFrame], ids: tuple[str, ...] = ()) -> Writer:
     def writer(out: str, store: str, tables: Tables) -> sinks.BatchWriter:
-        return incremental.order_facts_writer(out, store, lambda log: compute(log, tables["dictionary"]()))
+        return incremental.order_facts_writer(out, store, lambda log: compute(log, tables["dictionary"]()), ids)
 
     return writer
 
 
-def _windows(compute: Callable[[DataFrame], DataFrame], ts: str = "ts") -> Writer:
+def _rows(compute: Callable[..., DataFrame] = lambda rows: rows, *lookups: str) -> Writer:
+    """Rows that follow from those of the micro-batch and the lookup tables as they are at that moment."""
+
     def writer(out: str, store: str, tables: Tables) -> sinks.BatchWriter:
-        named = lambda rows: compute(rows).withColumn("_window", F.to_timestamp("stt"))
-        return incremental.window_writer(out, Store(store), ts, named)
+        def write(batch: DataFrame, batch_id: int) -> None:
+            compute(batch, *(tables[name]() for name in lookups)).write.mode("overwrite").parquet(sinks.batch_folder(out, batch_id))
+
+        return write
 
     return writer
 
@@ -62,45 +69,132 @@ def _registered(changes: DataFrame) -> DataFrame:
     return actions.registrations(changes).withColumn("event_ts", F.timestamp_seconds("ts"))
 
 
-ORDER, REFUND, WINDOW = ("order_id",), ("order_id", "id"), ("_window",)
+#: Outputs of the application log.
+TOPICS = {
+    "page": records.page_records, "start": records.start_records, "error": records.error_records, "display": records.display_records,
+    "action": records.action_records,
+}
+
+
+def split_log(log: DataFrame) -> DataFrame:
+    """(topic, value) of all five outputs of the application log, as JSON lines."""
+    out = None
+    for name, select in TOPICS.items():
+        lines = sinks.as_lines(select(log)).select(F.lit(name).alias("topic"), "value")
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
+def topic(split: DataFrame, name: str) -> DataFrame:
+    """The lines of one output, from the rows of the job ``log_split``."""
+    return split.filter(F.col("topic") == name).select("value")
+
+
+def with_product(tables: Tables, lines: DataFrame) -> DataFrame:
+    """Order lines with their event time and product ids, of the products as they are now."""
+    timed = metrics.order_lines_for_window(lines) if changelog.KIND not in lines.columns else _signed_lines(lines)
+    return dimensions.with_product(timed, tables["sku"](), ["order_id"])
+
+
+def _signed_lines(log: DataFrame) -> DataFrame:
+    plus = metrics.order_lines_for_window(log.filter(changelog.sign() > 0)).withColumn(changelog.KIND, F.lit("+I"))
+    return plus.unionByName(metrics.order_lines_for_window(log.filter(changelog.sign() < 0)).withColumn(changelog.KIND, F.lit("-D")))
+
+
+def _spu_rule(tables: Tables) -> WindowRule:
+    return WindowRule(
+        ["stt", "edt", *metrics.PRODUCT_IDS], ["lines", "amount"],
+        lambda rows: metrics.spu_order_parts(with_product(tables, rows), changelog.sign()),
+        metrics.spu_order_of_parts, ["order_id", "sku_id"], signed=True,
+    )
+
+
+def _order_lines(log: DataFrame) -> DataFrame:
+    """Changes of placed order lines, with their time."""
+    own = trade.order_add(log).select("order_detail_id", "order_id", "sku_id", "user_id", "split_total_amount", "order_create_time", changelog.KIND)
+    return own.withColumn("event_ts", F.try_to_timestamp("order_create_time", F.lit("yyyy-MM-dd HH:mm:ss"))).filter("event_ts IS NOT NULL")
+
+
+def _sums(compute: Callable[[DataFrame], DataFrame], measures: list[str], dims: list[str] = []) -> Callable[[Tables], WindowRule]:  # noqa: B006
+    return lambda tables: additive(compute, measures, dims)
+
+
+def _keyword_rows(pages: DataFrame) -> DataFrame:
+    return metrics.keyword_words(metrics.search_keywords(metrics.whole_second_pages(pages)))
+
+
+CHANGES, SAME = ("changes",), lambda rows: rows
 JOBS: dict[str, Job] = {
+    # dimensions and the log
+    "dimensions": Job(CHANGES, SAME, lambda out, store, tables: sinks.dimension_writer(out, tables["config"])),
+    "log_split": Job(("app_log",), split_log, _rows()),
+    # details of the log
     "unique_visitors": Job(("pages",), traffic.entry_pages, _first_of_day(["mid"])),
-    "user_jumps": Job(("pages",), lambda pages: pages, lambda out, store, tables: jobs.user_jumps_writer(out, store)),
-    "true_visitors": Job(("pages",), lambda pages: pages, lambda out, store, tables: jobs.new_visitor_writer(out, store)),
+    "user_jumps": Job(("pages",), SAME, lambda out, store, tables: jobs.user_jumps_writer(out, store)),
+    "true_visitors": Job(("pages",), SAME, lambda out, store, tables: jobs.new_visitor_writer(out, store)),
     "home_detail_visits": Job(("pages",), jobs.home_and_detail, _first_of_day(["mid", "page_id"])),
     "user_logins": Job(("pages",), jobs.known_entries, lambda out, store, tables: jobs.user_logins_writer(out, store)),
-    "first_carts": Job(("changes",), lambda changes: changes, _carts),
-    "order_detail": Job(("changes",), incremental.with_order, _orders(trade.order_detail_wide), ORDER),
-    "pay_detail": Job(("changes",), incremental.with_order, _orders(trade.pay_detail_of), ORDER),
-    "order_refund": Job(("changes",), incremental.with_order, _orders(trade.order_refund_wide), REFUND),
-    "refund_pay": Job(("changes",), incremental.with_order, _orders(trade.refund_pay_wide), REFUND),
+    # details of the change log
+    "cart_add": Job(CHANGES, SAME, _rows(trade.cart_add, "dictionary")),
+    "first_carts": Job(CHANGES, SAME, _carts),
+    "order_detail": Job(CHANGES, incremental.with_order, _orders(trade.order_detail_wide)),
+    "order_add": Job(("order_detail",), trade.order_add, _rows()),
+    "order_cancel": Job(("order_detail",), trade.order_cancel, _rows()),
+    "pay_detail": Job(CHANGES, incremental.with_order, _orders(trade.pay_detail_of, ("order_detail_id",))),
+    "order_refund": Job(CHANGES, incremental.with_order, _orders(trade.order_refund_wide, ("id",))),
+    "refund_pay": Job(CHANGES, incremental.with_order, _orders(trade.refund_pay_wide, ("id",))),
+    "coupon_get": Job(CHANGES, actions.coupon_get, _rows()),
+    "coupon_order": Job(CHANGES, actions.coupon_order, _rows()),
+    "coupon_pay": Job(CHANGES, actions.coupon_pay, _rows()),
+    "favor_add": Job(CHANGES, actions.favor_add, _rows()),
+    "comments": Job(CHANGES, SAME, _rows(actions.comments, "dictionary")),
+    "registrations": Job(CHANGES, actions.registrations, _rows()),
+    # windows
     "page_view_window": Job(
-        ("pages", "unique_visitors", "user_jumps"), metrics.traffic_union, _windows(metrics.page_view_window), WINDOW
+        ("pages", "unique_visitors", "user_jumps"), metrics.traffic_union,
+        rule=_sums(metrics.page_view_window, metrics.TRAFFIC_MEASURES, metrics.TRAFFIC_DIMS),
     ),
-    "home_detail_window": Job(("home_detail_visits",), lambda rows: rows, _windows(metrics.home_detail_window), WINDOW),
-    "user_login_window": Job(("user_logins",), lambda rows: rows, _windows(metrics.user_login_window), WINDOW),
-    "cart_window": Job(("first_carts",), lambda rows: rows.filter("event_ts IS NOT NULL"), _windows(metrics.cart_user_window, "event_ts"), WINDOW),
-    "register_window": Job(("changes",), _registered, _windows(metrics.register_window, "event_ts"), WINDOW),
+    "keyword_window": Job(("pages",), _keyword_rows, rule=_sums(metrics.keyword_window, ["keyword_count"], ["source", "keyword"])),
+    "home_detail_window": Job(("home_detail_visits",), SAME, rule=_sums(metrics.home_detail_window, ["home_uv_ct", "good_detail_uv_ct"])),
+    "user_login_window": Job(("user_logins",), SAME, rule=_sums(metrics.user_login_window, ["back_ct", "uu_ct"])),
+    "cart_window": Job(
+        ("first_carts",), lambda rows: rows.filter("event_ts IS NOT NULL"), rule=_sums(metrics.cart_user_window, ["cart_add_uu_ct"]), ts="event_ts"
+    ),
+    "register_window": Job(CHANGES, _registered, rule=_sums(metrics.register_window, ["register_ct"]), ts="event_ts"),
+    "trade_window": Job(("order_detail",), _order_lines, rule=_spu_rule, ts="event_ts"),
 }
 
 
 def start(name: str, inputs: dict[str, DataFrame], root: str, tables: Tables | None = None, now: bool = True) -> StreamingQuery:
-    """Starts a job; ``inputs`` holds its streams by name, ``tables`` its lookup tables, read anew for each micro-batch."""
-    job, at = JOBS[name], root.rstrip("/")
-    writer = job.writer(f"{at}/{name}", f"{at}/{name}-store", tables or {})
-    rows = job.select(*(inputs[source] for source in job.sources))
-    return sinks.each_batch(rows, writer, f"{at}/checkpoint-{name}", now)
+    """Starts a job; ``inputs`` holds its streams by name, those of other jobs from ``follow``, ``tables`` its lookup tables, read anew
+    for each micro-batch."""
+    job, at, tables = JOBS[name], root.rstrip("/"), tables or {}
+    streams = [inputs[source] for source in job.sources]
+    spark, out, store = streams[0].sparkSession, f"{at}/{name}", f"{at}/{name}-store"
+    if job.rule:
+        write = incremental.window_writer(out, store, job.ts, job.rule(tables))
+    else:
+        write = hops.committing(spark, at, name, job.writer(out, store, tables))
+    if not any(map(hops.is_hop, streams)):
+        return sinks.each_batch(job.select(*streams), write, f"{at}/checkpoint-{name}", now)
 
+    def selected(*inputs_and_id) -> None:
+        write(job.select(*inputs_and_id[:-1]), inputs_and_id[-1])
 
-def follow(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """A job's results as a stream, once it has written some."""
-    path = f"{root.rstrip('/')}/{name}"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).drop("batch")
+    split = hops.each_input(spark, at, job.sources, streams, selected)
+    return sinks.each_batch(hops.merged(streams), split, f"{at}/checkpoint-{name}", now)
 
 
-def latest(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """A job's results as a table."""
-    path = f"{root.rstrip('/')}/{name}"
-    if JOBS[name].keys:
-        return incremental.current(spark, path, JOBS[name].keys).drop("_window")
-    return spark.read.parquet(path).drop("batch")
+def follow(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """A job's committed batches as a stream for ``start``, once it has committed some."""
+    return hops.follow(spark, root, name)
+
+
+def latest(spark: SparkSession, name: str, root: str, tables: Tables | None = None) -> DataFrame:
+    """A job's results as a table: windows as they are by now, change logs replayed, else all committed rows (all there are, where
+    the job's writer was run without ``start`` and so without commits)."""
+    job, path = JOBS[name], f"{root.rstrip('/')}/{name}"
+    if job.rule:
+        return incremental.windows_now(spark, path, job.rule(tables or {}))
+    rows = hops.table(spark, root, name) if hops.committed(spark, root, name) else spark.read.parquet(path)
+    return changelog.replayed(rows) if changelog.KIND in rows.columns else rows.drop("batch")
