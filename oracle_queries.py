@@ -574,3 +574,46 @@ ORACLE.update(
             FROM orders GROUP BY ALL""",
     }
 )
+
+# Jobs have the tables' answers; where rows come in deliveries, the answer says what each delivery brought.
+CHUNK = "least((day(pts) - 1) // 5, 5)"
+ORACLE.update(
+    {
+        "job_cart_add": ORACLE["lookup_inner"],
+        "job_coupon_get": ORACLE["coupon_get"],
+        "job_coupon_order": ORACLE["coupon_order"],
+        "job_coupon_pay": ORACLE["coupon_pay"],
+        "job_favor_add": ORACLE["favor_add"],
+        "job_comments": ORACLE["lookup_left"],
+        "job_registrations": ORACLE["user_register"],
+        "job_order_add": ORACLE["order_add"],
+        "job_order_cancel": ORACLE["order_cancel"],
+        "job_log_split": ORACLE["sink_fan_out"],
+        "job_keyword_window": ORACLE["keyword_window"],
+        "job_register_window": ORACLE["user_register_window"],
+        "job_user_login_window": ORACLE["user_login"],
+        "stream_hop_once": ORACLE["home_detail_uv"],
+        "stream_regular_left": ORACLE["fact_join_left"],
+        "stream_regular_full": ORACLE["fact_join_full"],
+        "changelog_window": ORACLE["trade_spu_window"],
+        "changelog_left_join": """WITH dealt AS (
+            SELECT *, CAST(year(o_orderdate) - (SELECT min(year(o_orderdate)) FROM orders) + 1 AS BIGINT) AS batch FROM orders)
+            SELECT '+I' AS kind, CAST(0 AS BIGINT) AS batch, c_custkey, c_name AS name, CAST(NULL AS BIGINT) AS o_orderkey,
+              CAST(NULL AS VARCHAR) AS status FROM customer
+            UNION ALL SELECT '+I', batch, c_custkey, c_name, o_orderkey, o_orderstatus FROM dealt JOIN customer ON o_custkey = c_custkey
+            UNION ALL SELECT '-D', min(batch), c_custkey, c_name, NULL, NULL
+              FROM dealt JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey, c_name""",
+        "late_rows_kept": f"""WITH early AS (SELECT epoch_us(ts) AS us FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+            mark AS (SELECT max({_window('epoch_us(ts)')}) AS us FROM events WHERE ts >= TIMESTAMP '2024-01-16')
+            SELECT {_stt_edt('early.us')}, count(*) AS event_ct FROM early, mark
+            WHERE {_window('early.us')} < mark.us - 2000000 GROUP BY ALL""",
+        "stream_first_deadline": _with(PAGES, f"""dealt AS (SELECT *, {CHUNK} AS chunk FROM page_log)""",
+            """clock AS (SELECT chunk, max(us) AS us FROM dealt GROUP BY chunk)""",
+            """opened AS (SELECT mid, min(chunk) AS chunk FROM dealt GROUP BY mid)""",
+            """due AS (SELECT o.mid, min(later.chunk) AS chunk FROM opened o JOIN clock first ON first.chunk = o.chunk
+              JOIN clock later ON later.chunk > o.chunk AND later.us - 864000000000 >= first.us GROUP BY o.mid)""",
+            select="""SELECT d.mid, event_id, page_id, CAST(due.chunk AS BIGINT) AS batch
+            FROM dealt d JOIN due ON due.mid = d.mid AND d.chunk < due.chunk
+            QUALIFY row_number() OVER (PARTITION BY d.mid ORDER BY us DESC, event_id DESC) = 1"""),
+    }
+)

@@ -339,10 +339,10 @@ class Warehouse(Run):
         super().__init__(spark, name)
         self.inputs, self.tables = inputs, lookups(spark, sf_dir)
 
-    def run(self, *names: str) -> DataFrame:
+    def run(self, *names: str, **options) -> DataFrame:
         """Runs the jobs in turn and gives the last one's table."""
         for name in names:
-            self.finish(lambda: warehouse.start(name, self.inputs, self.root, self.tables))
+            self.finish(lambda: warehouse.start(name, self.inputs, self.root, self.tables, **options))
             if not warehouse.JOBS[name].rule:
                 self.inputs[name] = warehouse.follow(self.spark, name, self.root)
         return warehouse.latest(self.spark, names[-1], self.root, self.tables)

@@ -165,14 +165,16 @@ JOBS: dict[str, Job] = {
 }
 
 
-def start(name: str, inputs: dict[str, DataFrame], root: str, tables: Tables | None = None, now: bool = True) -> StreamingQuery:
+def start(
+    name: str, inputs: dict[str, DataFrame], root: str, tables: Tables | None = None, now: bool = True, lateness_s: int = incremental.LATENESS_S
+) -> StreamingQuery:
     """Starts a job; ``inputs`` holds its streams by name, those of other jobs from ``follow``, ``tables`` its lookup tables, read anew
-    for each micro-batch."""
+    for each micro-batch. Windows stay open for ``lateness_s``."""
     job, at, tables = JOBS[name], root.rstrip("/"), tables or {}
     streams = [inputs[source] for source in job.sources]
     spark, out, store = streams[0].sparkSession, f"{at}/{name}", f"{at}/{name}-store"
     if job.rule:
-        write = incremental.window_writer(out, store, job.ts, job.rule(tables))
+        write = incremental.window_writer(out, store, job.ts, job.rule(tables), lateness_s)
     else:
         write = hops.committing(spark, at, name, job.writer(out, store, tables))
     if not any(map(hops.is_hop, streams)):
