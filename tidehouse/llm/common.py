@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(key: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the Python worker for its next tasks until something else is to be kept.
+
+    Workers are used again by later stages and operators; only one thing stays, so their memory does not add up.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     """Partitions of an own ``repartition``: the session's number, which follows the input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

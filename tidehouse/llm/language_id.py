@@ -21,11 +21,10 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, joined, text_bytes, text_chunks
+from .common import LOWER, held, joined, text_bytes, text_chunks
 
 ORDER = 3
 _GAP = b"\n" * ORDER
-_BUILT: dict[str, dict[str, Tree]] = {}
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -124,10 +123,7 @@ def languages(docs: DataFrame, model: dict[str, list[tuple[int, int]]]) -> DataF
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _BUILT:  # once for each Python worker
-            _BUILT.clear()
-            _BUILT[name] = {lang: Tree(grams) for lang, grams in model.items()}
-        trees = _BUILT[name]
+        trees = held(name, lambda: {lang: Tree(grams) for lang, grams in model.items()})
         for batch in text_chunks(batches):
             lang, score = predict(trees, text_bytes(batch["text"]))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])

@@ -24,18 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import partitions, text_chunks, written
+from .common import held, partitions, text_chunks, written
 from .token_ids import Encoder
 
 _PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    """One for each Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
 
 
 def _pieces_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -48,7 +40,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, kind: str) -> DataFrame:
     """(doc_id, ids) of every row: ids as little-endian numbers of the kind, the end id last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = held(f"tokenizer {path}", lambda: Encoder(path))
         end = np.array([end_id], dtype=kind).tobytes()
         for batch in text_chunks(batches, limit=1 << 22):
             texts = [t or "" for t in batch["text"].to_pylist()]

@@ -27,12 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, NOT_ALNUM, distinct_spans, joined, span_hashes, text_bytes, text_chunks, word_spans, written
+from .common import LOWER, NOT_ALNUM, distinct_spans, held, joined, span_hashes, text_bytes, text_chunks, word_spans, written
 
 #: Quotation marks (fixed values).
 QUOTES = tuple(q.encode() for q in '"“”«»„')
 N_FEATURES = 8
-_LEXICONS: dict[str, Lexicon] = {}
 
 
 class Lexicon:
@@ -254,10 +253,8 @@ def scored(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame
     names, token = docs.columns, uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _LEXICONS:  # once for each Python worker, with the words it has looked up
-            _LEXICONS.clear()
-            _LEXICONS[token] = Lexicon(model.terms)
-        lexicon = _LEXICONS[token]
+        # Once for each Python worker, with the words it has looked up.
+        lexicon = held(token, lambda: Lexicon(model.terms))
         for batch in text_chunks(batches):
             scores = model.scores(lexicon, text_bytes(batch["text"]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*names, column])
