@@ -249,3 +249,12 @@ def test_similarity_decides_near_copies(spark):
     assert got == component
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()}
     assert kept == {i for i, c in component.items() if i == c}
+
+
+def test_a_chain_over_a_fingerprint_of_null_ids_alone(spark, monkeypatch):
+    """5 - null - 8, one bit each: one component, and a null one apart stays null."""
+    rows = [(5, 0), (None, 1), (8, 3), (None, 0xFFFF00), (None, 0xFFFF00)]
+    prints = spark.createDataFrame([(i, k, f) for k, (i, f) in enumerate(rows)], "doc_id long, tie long, f0 long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, width, n_words: prints)
+    found = sorted(((r.tie, r.component_id) for r in simhash.near_duplicates(prints).collect()))
+    assert found == [(0, 5), (1, 5), (2, 5), (3, None), (4, None)]

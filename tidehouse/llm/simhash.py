@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, text_bytes, text_chunks, written
+from .common import free_name, partitions, text_bytes, text_chunks, written
 from .components import components
 
 #: Generator polynomial of the binary Golay code (fixed value).
@@ -385,16 +385,19 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, tie, f0, ..., component_id) of every row; the component is the smallest doc_id reachable over links.
 
-    A component of null ids alone has a null component_id.
+    Fingerprints that only null ids have link like others; a component of null ids alone has a null component_id.
     """
     prints = written(fingerprints(docs, width, n_words), "prints")
     words = [f"f{k}" for k in range(n_words)]
     one = prints.groupBy(*words).agg(F.min("doc_id").alias("id")).select("id", *words)
+    # Nodes are the smallest ids; fingerprints without one get numbers behind all ids, which never name a component.
+    last = prints.agg(F.max("doc_id")).first()[0] or 0
+    one = one.withColumn("id", F.coalesce("id", F.monotonically_increasing_id() + F.lit(last + 1)))
     one = written(one, "distinct-prints")
-    known = one.filter("id IS NOT NULL")
-    labels = components(near_links(known, tables, reach, max_bits))
+    labels = components(near_links(one, tables, reach, max_bits))
     labels = labels.select(F.col("node").alias("id"), "component")
-    of = one.join(labels, "id", "left").select(*words, F.coalesce("component", "id").alias("component_id"))
+    component = F.coalesce("component", "id")
+    of = one.join(labels, "id", "left").select(*words, F.when(component <= last, component).alias("component_id"))
     return prints.join(of, words)
 
 
@@ -410,5 +413,6 @@ def without_near_duplicates(
     stay = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("tie").alias("_tie"))
     stay = stay.withColumnRenamed("doc_id", "_stay")
     same = (docs["doc_id"].cast("long") == F.col("_stay")) & (F.xxhash64(docs["text"]) == F.col("_tie"))
-    rows = docs.join(stay, same, "left_semi").withColumn("_at", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-    return rows.filter("_at = 1").select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    at = free_name(docs, "_at")
+    rows = docs.join(stay, same, "left_semi").withColumn(at, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+    return rows.filter(F.col(at) == 1).select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
