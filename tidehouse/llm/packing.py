@@ -36,13 +36,13 @@ def _pieces_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in _PIECES.split(", ")])
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int, kind: str) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, end_id: int, kind: str, chunk_bytes: int = 1 << 22, remembered: int = 800_000) -> DataFrame:
     """(doc_id, ids) of every row: ids as little-endian numbers of the kind, the end id last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = held(f"tokenizer {path}", lambda: Encoder(path))
+        encoder = held(f"tokenizer {path} {remembered}", lambda: Encoder(path, remembered))
         end = np.array([end_id], dtype=kind).tobytes()
-        for batch in text_chunks(batches, limit=1 << 22):
+        for batch in text_chunks(batches, limit=chunk_bytes):
             texts = [t or "" for t in batch["text"].to_pylist()]
             ids = [x.astype(kind).tobytes() + end for x in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids, pa.binary())], names=["doc_id", "ids"])
@@ -246,13 +246,19 @@ def _pack(window: int, kind: str, idf: np.ndarray, mean: float, shard_items: int
     return run
 
 
-def pack(docs: DataFrame, window: int = 2048, shard_items: int = 512, end_id: int = 1, tokenizer: str | None = None) -> DataFrame:
-    """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids) that hold every id of ``docs`` (doc_id, text) once."""
+def pack(
+    docs: DataFrame, window: int = 2048, shard_items: int = 512, end_id: int = 1, tokenizer: str | None = None,
+    chunk_bytes: int = 1 << 22, remembered: int = 800_000,
+) -> DataFrame:
+    """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids) that hold every id of ``docs`` (doc_id, text) once.
+
+    A worker tokenizes ``chunk_bytes`` of text at once and keeps ``remembered`` tokenized words: memory against time, not results.
+    """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     # Ids take two bytes between the stages if the vocabulary allows it.
     largest = max(*Tokenizer.from_file(path).get_vocab().values(), end_id)
     kind = "<u2" if largest < 1 << 16 else "<u4"
-    tokens = written(tokenized(docs, path, end_id, kind), "tokens")
+    tokens = written(tokenized(docs, path, end_id, kind, chunk_bytes, remembered), "tokens")
     counts = tokens.mapInArrow(_frequencies(window, kind, largest + 1), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     rest = F.expr(f"length(ids) div {kind[2]} % {window}")
     size, total = tokens.agg(F.count_if(rest > 0), F.sum(rest)).first()
