@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidehouse.llm import line_dedup, mixing, packing, simhash, toxicity
-from tidehouse.llm.common import table, written
+from tidehouse.llm.common import free_name, table, written
 from tidehouse.llm.queries import MIX, domains
 
 ORACLE_SQL = None
@@ -19,7 +19,8 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below 0.3, learned from the labels of the documents at hand."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, "_toxicity").filter("_toxicity < 0.3").select(*docs.columns)
+    score = free_name(docs, "_toxicity")
+    return toxicity.scored(docs, model, score).filter(F.col(score) < 0.3).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 ids."""
-    return packing.pack(docs)
+    """Pieces of all documents in sequences of at most 2048 ids; in little memory, since executors have four stages behind them."""
+    return packing.pack(docs, chunk_bytes=1 << 20, remembered=300_000)
 
 
 STAGES = [
