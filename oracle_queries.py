@@ -579,6 +579,7 @@ ORACLE.update(
 CHUNK = "least((day(pts) - 1) // 5, 5)"
 ORACLE.update(
     {
+        "stream_right_join": f"""SELECT mid, left_id, right_id FROM ({ORACLE['stream_full_join']}) WHERE right_id IS NOT NULL""",
         "job_cart_add": ORACLE["lookup_inner"],
         "job_coupon_get": ORACLE["coupon_get"],
         "job_coupon_order": ORACLE["coupon_order"],

@@ -28,7 +28,7 @@ NAMES = [
     "lookup_left", "stream_unique_visitor", "stream_user_jump", "stream_fix_is_new_table",
     "stream_fix_is_new", "stream_unique_visitor_first", "stream_home_detail", "stream_user_login", "stream_cart_first",
     "stream_page_view_window", "stream_interval_join", "stream_order_detail", "stream_pay_detail", "stream_order_refund",
-    "stream_refund_pay", "fact_join_left", "fact_join_full",
+    "stream_refund_pay", "fact_join_left", "fact_join_full", "stream_full_join", "stream_right_join",
 ]
 
 

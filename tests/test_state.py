@@ -400,3 +400,57 @@ def test_a_heartbeat_fires_deadlines_when_no_rows_come(spark, tmp_path):
     finally:
         query.stop()
     assert [r.id for r in spark.read.schema(schema).parquet(f"{out}/batch=*").collect()] == ["busy"]
+
+
+# --- rows near in time -------------------------------------------------------------------------------
+
+
+def at(second):
+    return BASE + dt.timedelta(seconds=second)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_near_rows_and_lonely_ones_over_deliveries(spark, tmp_path, how):
+    """Deliveries in any order within the delay, a hot key, equal rows, null keys, a repeat, one row too late."""
+    out, rng = str(tmp_path / "out"), random.Random(11)
+    write = joins.interval_join_writer(out, str(tmp_path / "s"), ["k"], "a", "b", 5, how, delay_s=20)
+    left, right = [], []
+    for n in range(5):
+        low = n * 25
+        new = [[(rng.choice(["hot", "hot", "x", None]), f"{side}{n}-{j // 2}", at(low + rng.randrange(40))) for j in range(14)] for side in "lr"]
+        if n == 4:
+            new[0].append(("x", "too late", at(1)))
+        a = spark.createDataFrame(new[0], "k string, li string, a timestamp")
+        b = spark.createDataFrame(new[1], "k string, ri string, b timestamp")
+        for _ in range(2 if n == 2 else 1):
+            write(joins.two_sides(a, b), n)
+        left += [r for r in new[0] if r[1] != "too late"]
+        right += new[1]
+    mark = min(max(r[2] for r in left), max(r[2] for r in right)) - dt.timedelta(seconds=20)
+    gap = dt.timedelta(seconds=5)
+    expected, met_left, met_right = Counter(), set(), set()
+    for i, x in enumerate(left):
+        for j, y in enumerate(right):
+            if x[0] is not None and x[0] == y[0] and abs(x[2] - y[2]) <= gap:
+                expected[(x[0], x[1], y[1])] += 1
+                met_left.add(i)
+                met_right.add(j)
+    if how in ("left", "full"):
+        expected.update((x[0], x[1], None) for i, x in enumerate(left) if i not in met_left and x[2] + gap < mark)
+    if how in ("right", "full"):
+        expected.update((y[0], None, y[1]) for j, y in enumerate(right) if j not in met_right and y[2] + gap < mark)
+    got = Counter(tuple(r) for r in spark.read.parquet(out).select("k", "li", "ri").collect())
+    assert got == expected
+    late = spark.read.parquet(incremental.late_folder(out)).filter("_left.li = 'too late'").count()
+    assert late == 1
+
+
+def test_a_hot_key_is_spread_over_its_slices_in_a_full_join(spark):
+    """No task of the join gets a large part of a key that holds nearly all rows."""
+    from tidehouse.operators.intervals import interval_join
+
+    rows = spark.range(20_000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.lit(START) + F.col("id")).alias("a"))
+    with settings(spark, {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        joined = interval_join(rows, rows.withColumnRenamed("a", "b"), ["k"], "a", "b", -5, 5)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 0.15 * sum(sizes)

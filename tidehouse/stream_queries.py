@@ -20,7 +20,7 @@ from tidehouse.plans import actions, dimensions, metrics, trade, traffic
 from tidehouse.queries import TIE, WIDE_LOG, _flat_old, query, spu_names
 from tidehouse.session import ROCKSDB, run_dir, settings, state_partitions
 from tidehouse.sources import samples, topics
-from tidehouse.streaming import incremental, jobs, sinks, warehouse
+from tidehouse.streaming import incremental, jobs, joins, sinks, warehouse
 from tidehouse.streaming.state import first_of_day_stream
 
 
@@ -177,14 +177,23 @@ def stream_left_join(spark, sf_dir):
     return Run(spark, "left-join").result(joined.select("mid", "left_id", "right_id"))
 
 
+def _near_join(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    left, right = _click_and_view(spark, sf_dir)
+    run = Run(spark, f"{how}-join")
+    run.each(joins.two_sides(left, right), "pairs", joins.interval_join_writer(run.path("pairs"), run.path("state"), ["mid"], "left_ts", "right_ts", how=how))
+    return run.read("pairs").select("mid", "left_id", "right_id")
+
+
 @query
 def stream_full_join(spark, sf_dir):
     """Clicks and views near each other, and the lonely ones of both sides."""
-    left, right = _click_and_view(spark, sf_dir)
-    joined = jobs.interval_join_stream(left, right, "mid", "left_ts", "right_ts", how="full", delay=NO_DELAY)
-    return Run(spark, "full-join").result(
-        joined.select(F.coalesce("mid", "_mid").alias("mid"), "left_id", "right_id")
-    )
+    return _near_join(spark, sf_dir, "full")
+
+
+@query
+def stream_right_join(spark, sf_dir):
+    """Views with the clicks near them; lonely views follow when the mark has passed."""
+    return _near_join(spark, sf_dir, "right")
 
 
 @query
