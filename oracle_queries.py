@@ -604,6 +604,28 @@ ORACLE.update(
             UNION ALL SELECT '+I', batch, c_custkey, c_name, o_orderkey, o_orderstatus FROM dealt JOIN customer ON o_custkey = c_custkey
             UNION ALL SELECT '-D', min(batch), c_custkey, c_name, NULL, NULL
               FROM dealt JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey, c_name""",
+        "pattern_bounces": ORACLE["user_jump"],
+        "pattern_search_view_pay": _with(FAST_PAGES, """following AS (
+              SELECT mid, event_id, us, last_page_id = 'search' AS starts, lead(us, 1) OVER w - us < 20000000 AS in1,
+                lead(us, 2) OVER w - us < 20000000 AS in2, lead(page_id, 1) OVER w = 'good_detail' AS ok1,
+                lead(page_id, 2) OVER w = 'payment' AS ok2, lead(event_id, 1) OVER w AS id1, lead(event_id, 2) OVER w AS id2
+              FROM page_log WINDOW w AS (PARTITION BY mid ORDER BY us, event_id)),
+            tried AS (SELECT mid, event_id, id1, id2, CASE WHEN NOT coalesce(in1, false) THEN 't1' WHEN NOT ok1 THEN 'x'
+                WHEN NOT coalesce(in2, false) THEN 't2' WHEN NOT ok2 THEN 'x' ELSE 'm' END AS state FROM following WHERE starts)""",
+            select="""SELECT mid, CASE state WHEN 'm' THEN 'match' ELSE 'timeout' END AS outcome,
+            CAST(CASE state WHEN 't1' THEN 1 WHEN 't2' THEN 2 ELSE 3 END AS INT) AS reached, event_id AS search_id,
+            CASE WHEN state <> 't1' THEN id1 END AS view_id, CASE WHEN state = 'm' THEN id2 END AS pay_id FROM tried WHERE state <> 'x'"""),
+        "dim_route_as_of": """WITH versions AS (
+              SELECT s_nationkey AS n, s_suppkey AS sup, s_acctbal > 5000 AS log,
+                row_number() OVER w AS k, s_suppkey AS since, lead(s_suppkey) OVER w AS until
+              FROM supplier WINDOW w AS (PARTITION BY s_nationkey ORDER BY s_suppkey))
+            SELECT concat('dim_', n) AS sink_table, CAST(c_custkey AS VARCHAR) AS pk, concat('source_', n) AS "table",
+              CAST(c_custkey % 120 AS BIGINT) AS ts, concat('{"id":"', c_custkey, '"}') AS data
+            FROM customer JOIN versions ON n = c_nationkey AND c_custkey % 120 < coalesce(until, 1000000000)
+              AND (c_custkey % 120 >= since OR k = 1 AND NOT log)""",
+        "sink_upsert_deletions": """SELECT o_custkey, o_orderkey, o_orderstatus FROM orders
+            QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 AND o_orderstatus <> 'F'""",
+        "job_dimensions": ORACLE["dim_upsert_latest"],
         "late_rows_kept": f"""WITH early AS (SELECT epoch_us(ts) AS us FROM events WHERE ts < TIMESTAMP '2024-01-16'),
             mark AS (SELECT max({_window('epoch_us(ts)')}) AS us FROM events WHERE ts >= TIMESTAMP '2024-01-16')
             SELECT {_stt_edt('early.us')}, count(*) AS event_ct FROM early, mark

@@ -10,12 +10,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidehouse import schemas as S
+from tidehouse.operators import patterns, routing
 from tidehouse.operators.windows import tumble
-from tidehouse.plans import metrics
 from tidehouse.queries import WIDE_LOG, _flat_old, query, spu_names
 from tidehouse.sources import samples
 from tidehouse.stream_queries import Run, Warehouse, change_stream, pages_stream, table_stream
-from tidehouse.streaming import deadlines, hops, incremental, joins, sinks, warehouse
+from tidehouse.streaming import deadlines, hops, incremental, joins, sinks, tables, warehouse
 
 
 def deliver(run: Run, name: str, parts: Sequence[DataFrame], writer: sinks.BatchWriter) -> None:
@@ -196,6 +197,60 @@ def changelog_window(spark, sf_dir):
     return spu_names(counted, samples.product_tables(spark, sf_dir))
 
 
+# --- patterns, dimensions as of a time, tables with deletions ------------------------------------------
+
+
+@query
+def pattern_bounces(spark, sf_dir):
+    """Bounces as a pattern: an entry that another entry follows, or nothing in time."""
+    pages = samples.page_log(spark, sf_dir, fast=True)
+    found = patterns.matched(pages, patterns.bounces(F.col("last_page_id").isNull()), "mid", "ts", ["event_id"])
+    return found.select("event_id", "mid", "page_id", F.unix_micros("ts").alias("ts_us"))
+
+
+@query
+def pattern_search_view_pay(spark, sf_dir):
+    """A search result, then a product, then a payment, one behind the other in 20 seconds; timeouts with the steps they have."""
+    pages = samples.page_log(spark, sf_dir, fast=True)
+    pattern = patterns.Pattern.begin("search", F.col("last_page_id") == S.PAGE_SEARCH, 20)
+    pattern = pattern.next("view", F.col("page_id") == S.PAGE_DETAIL).next("pay", F.col("page_id") == "payment")
+    found = patterns.matched(pages, pattern, "mid", "ts", ["event_id"], ["event_id"])
+    steps = [F.col(f"{name}.event_id").alias(f"{name}_id") for name in ("search", "view", "pay")]
+    return found.select("mid", "outcome", "reached", *steps)
+
+
+@query
+def dim_route_as_of(spark, sf_dir):
+    """Customer records routed by the configuration of their nation at their time; every supplier is a version of it."""
+    config = samples.config_changes(spark, sf_dir).withColumn("op", F.when(F.col("after.sink_pk").isNull(), "r").otherwise("u"))
+    versions = routing.config_versions(config.withColumn("ts_ms", F.col("ts_ms") * 1000))
+    key = F.col("c_custkey").cast("string")
+    changes = samples.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("source_"), F.col("c_nationkey").cast("string")).alias("table"), F.lit("insert").alias("type"),
+        (F.col("c_custkey") % 120).cast("long").alias("ts"), F.create_map(F.lit("id"), key, F.lit("name"), F.col("c_name")).alias("data"),
+    )
+    return routing.routed_as_of(changes, versions).select("sink_table", "pk", "table", "ts", F.to_json("data").alias("data"))
+
+
+@query
+def sink_upsert_deletions(spark, sf_dir):
+    """Orders upserted and taken away by customer: the newest order of each customer, unless it is a finished one."""
+    run = Run(spark, "sink-deletions")
+    table = tables.KeyedTable(run.path("orders"), ["o_custkey"], ["second", "o_orderkey"], deleted="o_orderstatus = 'F'")
+    orders = table_stream(spark, sf_dir, "orders")
+    rows = orders.select("o_custkey", "o_orderkey", "o_orderstatus", F.unix_seconds("o_orderdate").alias("second"))
+    run.each(rows, "orders", table.writer())
+    return table.read(spark).select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
+@query
+def job_dimensions(spark, sf_dir):
+    """Part and supplier changes in compacted dimension tables."""
+    changes = change_stream(spark, sf_dir, "part", "supplier")
+    rows = Warehouse(spark, sf_dir, "dimensions", changes=changes).run("dimensions")
+    return rows.select("sink_table", "pk", F.to_json("data").alias("data"))
+
+
 # --- late rows and deadlines -------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,18 +38,44 @@ def routed(changes: DataFrame, config: DataFrame) -> DataFrame:
     """
     if is_small(config, MAX_BROADCAST_ROWS):
         config = F.broadcast(config)
-    return (
-        changes.filter(F.col("type").isin(*DIM_CHANGE_TYPES))
-        .join(config, F.col("table") == F.col("source_table"))
-        .select(
-            "sink_table",
-            F.col("data")[F.col("sink_pk")].alias("pk"),
-            "table",
-            "type",
-            "ts",
-            pruned(F.col("data"), F.col("sink_columns")).alias("data"),
-            *[c for c in ["seq"] if c in changes.columns],
-        )
+    return _targets(changes.filter(F.col("type").isin(*DIM_CHANGE_TYPES)).join(config, F.col("table") == F.col("source_table")))
+
+
+def config_versions(config_changes: DataFrame) -> DataFrame:
+    """Every configuration a source table has had, with the milliseconds [``valid_from``, ``valid_to``) it was in force.
+
+    Rows of the initial snapshot (op r) and of the log are ordered by time, a snapshot row before log rows of the same time, later
+    columns only break ties. A table's first version counts from the beginning if it comes from the snapshot, as it was in force before
+    anyone looked. A deletion ends the version before it. Source tables have few versions, so each table's are ordered in one task.
+    """
+    table = F.coalesce("after.source_table", "before.source_table")
+    rows = config_changes.select(table.alias("_table"), "after.*", "ts_ms", (F.col("op") == "r").alias("_snapshot"), F.col("after").isNull().alias("_gone"))
+    in_order = Window.partitionBy("_table").orderBy("ts_ms", F.col("_snapshot").desc(), F.col("_gone").desc(), "sink_table", "sink_columns", "sink_pk")
+    first = F.row_number().over(in_order) == 1
+    timed = rows.withColumns({
+        "valid_from": F.when(first & F.col("_snapshot"), F.lit(-(1 << 62))).otherwise(F.col("ts_ms")),
+        "valid_to": F.coalesce(F.lead("ts_ms").over(in_order), F.lit(1 << 62)),
+    })
+    key = F.when(F.coalesce("sink_pk", F.lit("")) == "", DEFAULT_KEY).otherwise(F.col("sink_pk"))
+    kept = timed.filter("NOT _gone AND valid_from < valid_to").withColumn("sink_pk", key)
+    return kept.drop("_table", "_snapshot", "_gone", "ts_ms")
+
+
+def routed_as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
+    """As ``routed``, with the configuration that was in force at the time of each record (``ts``, in seconds)."""
+    if is_small(versions, MAX_BROADCAST_ROWS):
+        versions = F.broadcast(versions)
+    ms = F.col("ts") * 1000
+    kept = changes.filter(F.col("type").isin(*DIM_CHANGE_TYPES))
+    joined = kept.join(versions, (F.col("table") == F.col("source_table")) & (ms >= F.col("valid_from")) & (ms < F.col("valid_to")))
+    return _targets(joined)
+
+
+def _targets(joined: DataFrame) -> DataFrame:
+    """Target, key and listed columns of change records beside their configuration."""
+    return joined.select(
+        "sink_table", F.col("data")[F.col("sink_pk")].alias("pk"), "table", "type", "ts",
+        pruned(F.col("data"), F.col("sink_columns")).alias("data"), *[c for c in ["seq"] if c in joined.columns],
     )
 
 

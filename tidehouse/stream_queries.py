@@ -352,7 +352,7 @@ class Warehouse(Run):
         """Runs the jobs in turn and gives the last one's table."""
         for name in names:
             self.finish(lambda: warehouse.start(name, self.inputs, self.root, self.tables, **options))
-            if not warehouse.JOBS[name].rule:
+            if not (warehouse.JOBS[name].rule or warehouse.JOBS[name].read):
                 self.inputs[name] = warehouse.follow(self.spark, name, self.root)
         return warehouse.latest(self.spark, names[-1], self.root, self.tables)
 

@@ -56,9 +56,11 @@ class BucketStore:
     def __init__(
         self, path: str, keys: Sequence[str], merge: Callable[[DataFrame], DataFrame] | None = None, *, buckets: int = 128, every: int = 8,
         time: str | None = None, keep_s: int | None = None, sort: Sequence[str] = (),
+        oldest: Callable[[DataFrame, str, int], DataFrame] | None = None,
     ) -> None:
+        """``oldest`` (rows, time column, newest second) goes over merged rows that have no older ones behind them."""
         self.path, self.keys, self.merge = path.rstrip("/"), list(keys), merge or (lambda rows: rows)
-        self.buckets, self.every, self.time, self.keep_s, self.sort = buckets, every, time, keep_s, list(sort)
+        self.buckets, self.every, self.time, self.keep_s, self.sort, self.oldest = buckets, every, time, keep_s, list(sort), oldest
 
     # --- which runs ---
 
@@ -105,26 +107,29 @@ class BucketStore:
             return rows
         return rows.filter(F.col(self.time) >= newest_s - self.keep_s)
 
+    def _runs(self, folder: Folder, n: int | None) -> tuple[list[str], int]:
+        """The runs to read for the batches before ``n``, and that number; without it all that the folder has, whatever ``every`` its
+        writer was given: from each end the longest run."""
+        if n is not None:
+            return self._live(folder, self.cover(n)), n
+        found = [tuple(map(int, name[4:].split("-"))) for name in folder.names() if name.startswith("run=") and folder.finished(name)]
+        runs, n = [], 0
+        for run in sorted(found, key=lambda run: (run[1], -run[2])):
+            if run[1] >= n:
+                runs.append(self._name(run))
+                n = run[2] + 1
+        return runs, n
+
     def before(self, spark: SparkSession, n: int | None = None) -> DataFrame | None:
         """All rows that the batches before ``n`` (without it: all) left, with ``_batch``."""
-        folder = Folder(spark, self.path)
-        if n is None:
-            # As the folder has it, whatever ``every`` its writer was given: from each end the longest run.
-            found = [tuple(map(int, name[4:].split("-"))) for name in folder.names() if name.startswith("run=") and folder.finished(name)]
-            runs, n = [], 0
-            for run in sorted(found, key=lambda run: (run[1], -run[2])):
-                if run[1] >= n:
-                    runs.append(run)
-                    n = run[2] + 1
-        else:
-            runs = self.cover(n)
-        rows = self._fresh(spark, self._read(spark, self._live(folder, runs)), n)
+        names, n = self._runs(Folder(spark, self.path), n)
+        rows = self._fresh(spark, self._read(spark, names), n)
         return None if rows is None else rows.drop(HASH, BUCKET)
 
-    def touched(self, rows: DataFrame, n: int) -> DataFrame | None:
-        """What the batches before ``n`` left for the keys that occur in ``rows``, with ``_batch``."""
+    def touched(self, rows: DataFrame, n: int | None = None) -> DataFrame | None:
+        """What the batches before ``n`` (without it: all) left for the keys that occur in ``rows``, with ``_batch``."""
         spark = rows.sparkSession
-        names = self._live(Folder(spark, self.path), self.cover(n))
+        names, n = self._runs(Folder(spark, self.path), n)
         if not names:
             return None
         keys = rows.select(*self.keys).distinct().select(*self.keys, self._hash().alias(HASH))
@@ -188,7 +193,10 @@ class BucketStore:
             parts = [(level - 1, at, at + size - 1) for at in range(n + 1 - size * self.every, n + 1, size)]
             held = self._fresh(spark, self._read(spark, self._live(folder, parts)), n + 1)
             if held is not None:
-                self._write(self.merge(held.drop(HASH, BUCKET)), (level, parts[0][1], n))
+                merged = self.merge(held.drop(HASH, BUCKET))
+                if self.oldest and parts[0][1] == 0 and (mark := self.mark(spark, n + 1)) is not None:
+                    merged = self.oldest(merged, self.time, mark)
+                self._write(merged, (level, parts[0][1], n))
                 if self.time:
                     folder.create(f"_newest-{level}-{parts[0][1]}-{n}", str(self.mark(spark, n + 1) or ""), replace=True)
             level += 1

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidehouse.operators import records, routing
 from tidehouse.plans import actions, dimensions, metrics, trade, traffic
 from tidehouse.streaming import changelog, hops, incremental, jobs, sinks
+from tidehouse.streaming import tables as dimension_tables
 from tidehouse.streaming.incremental import WindowRule, additive
 
 Tables = dict[str, Callable[[], DataFrame]]
@@ -26,13 +27,14 @@ Writer = Callable[[str, str, Tables], sinks.BatchWriter]
 @dataclass(frozen=True)
 class Job:
     """``sources``: names of input streams; ``select``: from them to the job's rows; ``rule``: of a window table, with ``ts``, the
-    column of its rows' time."""
+    column of its rows' time; ``read``: how a job's own kind of table is read."""
 
     sources: tuple[str, ...]
     select: Callable[..., DataFrame]
     writer: Writer | None = None
     rule: Callable[[Tables], WindowRule] | None = None
     ts: str = "ts"
+    read: Callable[[SparkSession, str], DataFrame] | None = None
 
 
 def _first_of_day(keys: list[str], ts: str = "ts") -> Writer:
@@ -126,7 +128,10 @@ def _keyword_rows(pages: DataFrame) -> DataFrame:
 CHANGES, SAME = ("changes",), lambda rows: rows
 JOBS: dict[str, Job] = {
     # dimensions and the log
-    "dimensions": Job(CHANGES, SAME, lambda out, store, tables: sinks.dimension_writer(out, tables["config"])),
+    "dimensions": Job(
+        CHANGES, SAME, lambda out, store, keep: dimension_tables.dimensions_writer(out, keep["config"]),
+        read=lambda spark, path: dimension_tables.dimensions(path).read(spark),
+    ),
     "log_split": Job(("app_log",), split_log, _rows()),
     # details of the log
     "unique_visitors": Job(("pages",), traffic.entry_pages, _first_of_day(["mid"])),
@@ -173,7 +178,9 @@ def start(
     job, at, tables = JOBS[name], root.rstrip("/"), tables or {}
     streams = [inputs[source] for source in job.sources]
     spark, out, store = streams[0].sparkSession, f"{at}/{name}", f"{at}/{name}-store"
-    if job.rule:
+    if job.read:
+        write = job.writer(out, store, tables)
+    elif job.rule:
         write = incremental.window_writer(out, store, job.ts, job.rule(tables), lateness_s)
     else:
         write = hops.committing(spark, at, name, job.writer(out, store, tables))
@@ -196,6 +203,8 @@ def latest(spark: SparkSession, name: str, root: str, tables: Tables | None = No
     """A job's results as a table: windows as they are by now, change logs replayed, else all committed rows (all there are, where
     the job's writer was run without ``start`` and so without commits)."""
     job, path = JOBS[name], f"{root.rstrip('/')}/{name}"
+    if job.read:
+        return job.read(spark, path)
     if job.rule:
         return incremental.windows_now(spark, path, job.rule(tables or {}))
     rows = hops.table(spark, root, name) if hops.committed(spark, root, name) else spark.read.parquet(path)
