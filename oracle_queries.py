@@ -200,8 +200,8 @@ PRODUCTS = """products AS (
 
 COMMON = "mid, uid, vc, ch, ar, is_new"
 N_ITEMS = "range(1, CAST(event_id % 4 AS INT) + 1)"
-SETTLED = """t1 AS (SELECT o_orderkey AS id, o_orderpriority AS name FROM orders WHERE o_orderstatus <> 'P'),
-t2 AS (SELECT l_orderkey AS id, min(l_returnflag) AS sex FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1)"""
+BUYERS = """t1 AS (SELECT c_custkey AS id, c_name AS name FROM customer),
+t2 AS (SELECT o_custkey AS id, o_orderstatus AS sex FROM orders)"""
 
 
 def _coupon_step(name: str, filtered: str, delay: int) -> str:
@@ -212,7 +212,7 @@ def _coupon_step(name: str, filtered: str, delay: int) -> str:
 
 
 def _join(how: str) -> str:
-    return _with(SETTLED, select=f"SELECT id, name, sex FROM t1 {how} JOIN t2 USING (id)")
+    return _with(BUYERS, select=f"SELECT id, name, sex FROM t1 {how} JOIN t2 USING (id)")
 
 
 SECOND = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
@@ -354,7 +354,7 @@ ORACLE: dict[str, str] = {
     "join_inner": _join("INNER"),
     "join_left": _join("LEFT"),
     "join_right": _join("RIGHT"),
-    "join_full": _with(SETTLED, select="""SELECT t1.id AS left_id, t2.id AS right_id, name, sex
+    "join_full": _with(BUYERS, select="""SELECT t1.id AS left_id, t2.id AS right_id, name, sex
         FROM t1 FULL JOIN t2 ON t1.id = t2.id"""),
     "dim_route": _with(PART_LOG, select='SELECT sink_table, pk, "table", type, ts FROM routed'),
     "dim_prune_columns": _with(PART_LOG, select="SELECT sink_table, pk, type, data FROM routed"),
@@ -516,16 +516,6 @@ ORACLE.update(
         "stream_user_login": _with(PAGES, LOGIN_DAYS, select=f"""SELECT {_stt_edt()},
             count(*) FILTER (days >= 8) AS back_ct, count(*) AS uu_ct FROM away
             WHERE {_closed('us', '(SELECT max(us) FROM away)')} GROUP BY ALL"""),
-        "stream_trade_spu": _with(DETAIL, PRODUCTS, """enriched AS (
-              SELECT d.order_id, d.source_id AS user_id, d.sku_id, p.* EXCLUDE (sku_id),
-                epoch_us(CAST(d.order_create_time AS TIMESTAMP)) AS us,
-                CAST(d.split_total_amount AS DECIMAL(20,4)) AS amount
-              FROM order_detail d LEFT JOIN products p ON p.sku_id = d.sku_id)""",
-            select=f"""SELECT {_stt_edt()}, trademark_id, trademark_name, category1_id,
-            category1_name, category2_id, category2_name, category3_id, category3_name, user_id,
-            spu_id, spu_name, min(sku_id) AS sku_id, count(DISTINCT order_id) AS order_ct,
-            CAST(sum(amount) AS DOUBLE) AS order_amount FROM enriched
-            WHERE {_closed('us', '(SELECT max(us) FROM enriched)')} GROUP BY ALL"""),
         "stream_newest": _with(FAST_PAGES, """spaced AS (
               SELECT *, lead(us) OVER (PARTITION BY mid ORDER BY us, event_id) AS next_us
               FROM page_log)""", select=f"""SELECT mid, us, event_id, page_id FROM spaced
@@ -545,10 +535,6 @@ ORACLE.update(
             WHERE ts >= TIMESTAMP '2024-01-16')""", select=f"""SELECT {_stt_edt()},
             count(*) AS event_ct FROM late
             WHERE {_closed('us', '(SELECT max(us) FROM late)')} GROUP BY ALL"""),
-        "state_retention": _with(PAGES, """firsts AS (
-              SELECT mid, CAST(pts AS DATE) AS day, min(us) AS us FROM page_log GROUP BY ALL)""",
-            select=f"""SELECT mid, strftime(day, '%Y-%m-%d') AS day FROM firsts
-            WHERE us // 1000 + 86400000 > {LAST_PAGE} // 1000 - 86400000"""),
     }
 )
 

@@ -11,7 +11,9 @@ from tidehouse import schemas as S
 from tidehouse.operators import routing
 from tidehouse.sources import topics
 from tidehouse.plans import trade
+from tidehouse.session import ROCKSDB, settings
 from tidehouse.streaming import incremental, jobs, sinks, stores, warehouse
+from tidehouse.streaming.state import first_of_day_stream
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 DAY = 86400
@@ -72,6 +74,18 @@ def test_last_login_over_deliveries(spark, tmp_path):
     assert got == [("u", 1, 0, 0), ("u", 4, 0, 0), ("u", 12, 0, 1), ("v", 1, 0, 0)]
 
 
+def test_daily_state_is_forgotten_two_days_behind(spark, tmp_path):
+    """What Spark's own deduplication still remembers, read from its state: the keys of the last two days."""
+    feed = Feed(spark, tmp_path / "in", "mid string, ts timestamp")
+    for day in range(5):
+        feed.add([(f"m{k}", at(day * DAY + k)) for k in range(3)])
+        with settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+            run(first_of_day_stream(feed.stream(), ["mid"]), tmp_path / "out", tmp_path / "check")
+    state = spark.read.format("statestore").load(str(tmp_path / "check"))
+    assert {r.day.day for r in state.select("key._day").toDF("day").collect()} <= {4, 5}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 15
+
+
 def test_unique_visitor_over_deliveries_and_a_repeat(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", "mid string, ts timestamp, last_page_id string")
     out = str(tmp_path / "out")

@@ -401,13 +401,10 @@ def interval_join_query(spark, sf_dir):
 
 
 def _two_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Settled orders with a name, and one flag per order that shipped a finished line."""
-    orders = samples.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
-    lines = samples.table(spark, sf_dir, "lineitem").filter("l_linestatus = 'F'")
-    left = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
-    right = lines.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.min("l_returnflag").alias("sex")
-    )
+    """All customers with a name and all orders with a flag; many customers have several orders, some none."""
+    customers, orders = samples.table(spark, sf_dir, "customer"), samples.table(spark, sf_dir, "orders")
+    left = customers.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    right = orders.select(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("sex"))
     return left, right
 
 
