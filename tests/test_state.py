@@ -296,6 +296,13 @@ def test_a_repeated_batch_reaches_the_next_hop_once(spark, tmp_path):
     follow()
     assert taken == [(0, [1, 2], 1), (1, [3, 4], 0)]
     assert sorted((r.batch, r.id) for r in hops.table(spark, root, "first").collect()) == [(0, 1), (0, 2), (1, 3), (2, 4)]
+    # What all followers have taken may go; a batch run again after that still does nothing, and later ones go on.
+    hops.trim(spark, root, "first", 2)
+    commit(rows(1, 2), 0)
+    assert [r.id for r in hops.table(spark, root, "first").collect()] == [4]
+    commit(rows(5), 3)
+    follow()
+    assert taken[2:] == [(2, [5], 0)]
 
 
 # --- regular joins ---------------------------------------------------------------------------------

@@ -18,7 +18,7 @@ from tidehouse.streaming import sinks
 from tidehouse.streaming.stores import Folder
 
 COMMITS = "hop string, batch long, path string, schema string"
-_INPUT = "_input"
+_INPUT, _TRIMMED = "_input", "_trimmed"
 
 
 def log_folder(root: str, name: str) -> str:
@@ -30,9 +30,22 @@ def _file(batch_id: int) -> str:
 
 
 def committed(spark: SparkSession, root: str, name: str) -> list[dict]:
-    """The commits of a job that have rows or at least their columns, in order."""
+    """The commits of a job whose batch is still there and has rows or at least their columns, in order."""
     folder = Folder(spark, log_folder(root, name))
-    return [c for c in (json.loads(folder.text(n)) for n in folder.names() if n.endswith(".json")) if c["schema"]]
+    first = int(folder.text(_TRIMMED) or 0)
+    commits = (json.loads(folder.text(n)) for n in folder.names() if n.endswith(".json") and int(n[:-5]) >= first)
+    return [c for c in commits if c["schema"]]
+
+
+def trim(spark: SparkSession, root: str, name: str, before: int) -> None:
+    """Removes the folders of the batches before ``before``, which every follower must have taken. Their commits stay, so a batch
+    that is run again still does nothing; where the job writes a change log, its ``log_store`` still has the table."""
+    log = Folder(spark, log_folder(root, name))
+    lines = [json.loads(log.text(n)) for n in log.names() if n.endswith(".json") and int(n[:-5]) < before]
+    log.create(_TRIMMED, str(max(before, int(log.text(_TRIMMED) or 0))), replace=True)
+    for line in lines:
+        parent, _, own = line["path"].rpartition("/")
+        Folder(spark, parent).remove(own)
 
 
 def committing(spark: SparkSession, root: str, name: str, write: sinks.BatchWriter, path: str | None = None) -> sinks.BatchWriter:

@@ -107,6 +107,11 @@ def with_order(changes: DataFrame) -> DataFrame:
     return changes.withColumn("order_id", F.coalesce(own, F.col("data")["order_id"])).filter("order_id IS NOT NULL")
 
 
+def order_results(store: str, **options) -> BucketStore:
+    """The compacted change log of what ``order_facts_writer`` has sent."""
+    return changelog.log_store(f"{store.rstrip('/')}-results", ["order_id"], **options)
+
+
 def order_facts_writer(
     out: str, store: str, compute: Callable[[DataFrame], DataFrame], ids: Sequence[str] = (), every: int = 8, buckets: int = 128
 ) -> sinks.BatchWriter:
@@ -117,7 +122,7 @@ def order_facts_writer(
     their own version; of equal versions the later arrival wins if the source gave a sequence.
     """
     rows = BucketStore(store, ["order_id"], every=every, buckets=buckets)
-    results = changelog.log_store(f"{store.rstrip('/')}-results", ["order_id"], every=every, buckets=buckets)
+    results = order_results(store, every=every, buckets=buckets)
     return changelog.changes_writer(out, rows, results, lambda every_row: compute(every_row.drop("order_id")), ids)
 
 

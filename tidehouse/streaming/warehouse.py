@@ -200,12 +200,15 @@ def follow(spark: SparkSession, name: str, root: str) -> DataFrame:
 
 
 def latest(spark: SparkSession, name: str, root: str, tables: Tables | None = None) -> DataFrame:
-    """A job's results as a table: windows as they are by now, change logs replayed, else all committed rows (all there are, where
-    the job's writer was run without ``start`` and so without commits)."""
+    """A job's results as a table: windows as they are by now, change logs replayed (order facts from their compacted log), else all
+    committed rows (all there are, where the job's writer was run without ``start`` and so without commits)."""
     job, path = JOBS[name], f"{root.rstrip('/')}/{name}"
     if job.read:
         return job.read(spark, path)
     if job.rule:
         return incremental.windows_now(spark, path, job.rule(tables or {}))
+    sent = incremental.order_results(f"{path}-store").before(spark)
+    if sent is not None:
+        return changelog.replayed(sent)
     rows = hops.table(spark, root, name) if hops.committed(spark, root, name) else spark.read.parquet(path)
     return changelog.replayed(rows) if changelog.KIND in rows.columns else rows.drop("batch")
