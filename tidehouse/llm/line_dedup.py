@@ -84,14 +84,15 @@ def _windows(size: int, long_words: int | None):
 def _rebuild(text: str, covered: list[int], size: int, long_words: int | None) -> tuple[str, int, int, int]:
     """Text without the units of the windows that begin at ``covered``; lines there were, lines removed, and lines cut."""
     whole = text.encode()
+    if not covered:
+        # Lines with a word; where they are cut does not matter.
+        return text, sum(1 for x in whole.split(b"\n") if x.strip()), 0, 0
     _, line, starts, ends = (x.tolist() for x in _units([whole], long_words))
     gone_units: set[int] = set()
     gone: set[int] = set()
     for at in covered:
         gone_units.update(range(at, at + size))
         gone.update(range(line[at], line[at + size - 1] + 1))
-    if not covered:
-        return text, len(set(line)), 0, 0
     kept: dict[int, list[list[int]]] = {}
     lost: set[int] = set()
     for k, at in enumerate(line):
