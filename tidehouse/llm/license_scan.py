@@ -42,6 +42,16 @@ TEMPLATES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license version 2 0"),
 )
+#: Words of a template that a match must have, whatever else it shares: they tell it from its look-alikes.
+TELLING = {
+    "licensed under the apache license version 2 0": "apache",
+    "licensed under cc by nc 4 0": "cc nc",
+    "licensed under cc by sa 4 0": "cc sa",
+    "this work is licensed under the gnu general public license version 3": "gnu general",
+    "licensed under the gnu lesser general public license version 3": "gnu lesser",
+    "released under the mit license": "mit",
+    "this source code form is subject to the terms of the mozilla public license version 2 0": "mozilla",
+}
 
 
 def lowered(text: Column) -> Column:
@@ -73,14 +83,19 @@ def template_rows(templates: tuple[tuple[str, str], ...], threshold: float) -> l
     return [(n, label, w, math.ceil(threshold * len(w) - 1e-9)) for n, label, w in rows]
 
 
-def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
+def scan(
+    docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, telling: dict[str, str] | None = None
+) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matched blocks.
 
+    ``telling`` has, by template, words that its matches need besides the containment (without it ``TELLING``).
+
     ``score`` is 1 with a base phrase, else the largest containment of a match, else 0. ``blocks`` lists the matches as
     (line, label, containment).
     """
     spark = docs.sparkSession
     rows = template_rows(templates, threshold)
+    needed = [(TELLING if telling is None else telling).get(template, "").split() for _, template in templates]
     vocabulary = F.array(*(F.lit(w) for w in sorted({w for *_, ws, _ in rows for w in ws})))
     least = min(need for *_, need in rows)
     text = lowered(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -99,8 +114,8 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     rarest_first = [sorted(ws, key=lambda w: (rank.get(w, -1), w)) for *_, ws, _ in rows]
     order = [w for w in sorted({w for ws in rarest_first for w in ws}, key=lambda w: (rank.get(w, -1), w))]
     index = spark.createDataFrame(
-        [(w, n, label, ws, need, at) for (n, label, _, need), ws in zip(rows, rarest_first) for at, w in enumerate(ws[: len(ws) - need + 1])],
-        T.StructType.fromDDL("word string, template int, label string, words array<string>, need int, at int"),
+        [(w, n, label, ws, needed[n], need, at) for (n, label, _, need), ws in zip(rows, rarest_first) for at, w in enumerate(ws[: len(ws) - need + 1])],
+        T.StructType.fromDDL("word string, template int, label string, words array<string>, telling array<string>, need int, at int"),
     )
 
     # Few documents have any phrase: the word-by-word search runs behind a search of the text.
@@ -121,7 +136,8 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     left_of_both = F.least(F.size("words") - F.col("at"), F.size("set") - F.col("place"))
     pairs = tokens.join(F.broadcast(index), "word").filter((F.size("set") >= F.col("need")) & (left_of_both >= F.col("need")))
     shared = F.size(F.array_intersect("words", "set"))
-    matches = pairs.filter(shared >= F.col("need")).select("row", "line", "label", (shared / F.size("words")).alias("containment"))
+    told = F.size(F.array_except("telling", "set")) == 0
+    matches = pairs.filter((shared >= F.col("need")) & told).select("row", "line", "label", (shared / F.size("words")).alias("containment"))
     # A row has at most its own matches, of at most as many labels as there are templates.
     found = matches.groupBy("row").agg(
         F.collect_set("label").alias("method"), F.max("containment").alias("containment"),
