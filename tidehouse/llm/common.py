@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -38,6 +39,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of finished jobs, which it does when the driver's garbage is collected.
+
+    For steps that leave as much on the executors' disks as their input has, before the next step adds its own.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _HELD: dict[str, object] = {}
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, joined, span_hashes, text_bytes, text_chunks, written
+from .common import SPACE, joined, released, span_hashes, text_bytes, text_chunks, written
 
 #: Lines of more words are cut by the query and the stage.
 LONG_WORDS = 12
@@ -147,6 +147,7 @@ def without_repeats(docs: DataFrame, size: int = 3, long_words: int | None = Non
     # Most windows stand once: half a hash and a count tell them, and only the others' places are sorted out.
     often = windows.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1")
     windows = written(windows.join(often, "h1", "left_semi").select("doc_id", "tie", "pos", "h1", "h2"), "repeated-windows")
+    released(docs.sparkSession)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "pos")
     firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
     later = windows.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).filter(F.col("first") != place)
