@@ -261,3 +261,16 @@ def test_subwords_of_grouped_words_are_the_tokenizers():
     tokenizer.encode_special_tokens = True
     expected = [tokenizer.encode(" " + w, add_special_tokens=False).ids for w in words]
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in out["ids"].to_pylist()] == expected
+
+
+def test_lm_learns_from_every_training_document(spark):
+    """A pair of words that only training documents outside the 1500 of smallest id hash hold is learned all the same."""
+    ids = spark.range(3000).select(F.col("id").alias("doc_id"))
+    first = ids.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(1500).select("doc_id", F.lit(True).alias("early"))
+    train = ids.join(first, "doc_id", "left").select(
+        "doc_id", F.when(F.col("early"), "red blue").otherwise("green yellow").alias("text"), F.lit(True).alias("t")
+    )
+    held = spark.createDataFrame([(10_000, "green yellow", False)], "doc_id long, text string, t boolean")
+    got = {r.doc_id: r for r in attention_lm.scored(train.unionByName(held), "t").collect()}
+    assert len(got) == 3001
+    assert got[10_000].score > -1.0 > got[10_000].base_score
