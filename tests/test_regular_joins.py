@@ -17,6 +17,10 @@ ROWS = {
                 " (NULL, 'A', 'F')) t(l_orderkey, l_returnflag, l_linestatus)",
 }
 RIGHT = [(1, "1-URGENT", "A"), (1, "1-URGENT", "A"), (2, "5-LOW", "N"), (3, None, "R"), (6, None, None), (None, None, "A")]
+FULL = [
+    (1, 1, "1-URGENT", "A"), (1, 1, "1-URGENT", "A"), (2, 2, "5-LOW", "N"), (None, 3, None, "R"), (None, 6, None, None), (None, None, None, "A"),
+    (4, None, "5-LOW", None), (5, None, "3-MEDIUM", None), (None, None, "2-HIGH", None),
+]
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +36,7 @@ def in_order(rows):
 
 
 @pytest.mark.parametrize("name, columns, expected", [
-    ("join_right", ["id", "name", "sex"], RIGHT),
+    ("join_right", ["id", "name", "sex"], RIGHT), ("join_full", ["left_id", "right_id", "name", "sex"], FULL),
 ])
 def test_lonely_rows_of_both_sides(spark, folder, name, columns, expected):
     assert in_order(queries()[name](spark, folder).select(*columns).collect()) == in_order(expected)
