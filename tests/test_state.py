@@ -150,6 +150,56 @@ def payment(order, day):
     return (S.DATABASE, "payment_info", "update", START + int(day * DAY), data, {"payment_status": "1601"})
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_log_without_rows_taken_back_is_not_shuffled(spark, tmp_path):
+    rows = spark.createDataFrame([(1, {"a": "1", "b": "2"}), (1, {"b": "2", "a": "1"}), (2, None), (None, {})], "id int, m map<string,string>")
+    log = changelog.difference(rows, None)
+    assert "Exchange" not in plan_of(log) and {r.kind for r in log.collect()} == {"+I"}
+    log.write.parquet(str(tmp_path / "log"))
+    table = changelog.table(spark, str(tmp_path / "log"))
+    assert "Exchange" not in plan_of(table) and table_rows(table) == table_rows(rows)
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_a_standing_log_is_the_replayed_one(spark, monkeypatch, few):
+    monkeypatch.setattr(changelog, "FEW_GONE", few)
+    rng = random.Random(3)
+    maps = [None, {"a": "1", "b": "2"}, {"b": "2", "a": "1"}, {}]
+    log = [(rng.randrange(4), rng.choice(maps), "+I") for _ in range(60)]
+    log += [(k, m, rng.choice(["-D", "-U"])) for k, m, _ in rng.sample(log, 25)]
+    df = spark.createDataFrame(log, "id int, m map<string,string>, kind string")
+    assert table_rows(changelog.standing(df)) == table_rows(changelog.replayed(df)) and changelog.standing(df).count() == 35
+
+
+@pytest.mark.parametrize("moved", [False, True])
+def test_a_large_batch_goes_by_groups_and_is_held_by_its_store(spark, tmp_path, monkeypatch, moved):
+    """As in one piece, also where a line moves to another order; no copy of the batch is persisted."""
+    monkeypatch.setattr(changelog, "GROUP_BYTES", 1)
+    dictionary, out, calls, held = names(spark), str(tmp_path / "facts"), [], []
+
+    def compute(log):
+        calls.append(log.count())
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return trade.order_detail_wide(log, dictionary)
+
+    write = incremental.order_facts_writer(out, str(tmp_path / "store"), compute, every=2, buckets=4)
+    first = [r for k in range(12) for r in (line(f"d{k}", f"o{k}"), line(f"e{k}", f"o{k}"), header(f"o{k}"))]
+    second = [r for k in range(6, 15) for r in (line(f"d{k}", f"o{k}", 1, "7.00"), header(f"o{k}", 1, "update"))]
+    second += [line("d6", f"o{k}", 1 + k) for k in range(7, 15)] if moved else []
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for n, rows in enumerate((first, second)):
+        write(incremental.with_order(spark.createDataFrame(rows, S.CHANGE)), n)
+        assert len(calls) == (1 if moved and n else 4) and set(held) == {before}
+        calls.clear()
+    seen = first + second
+    wide = trade.order_detail_wide(spark.createDataFrame(seen, S.CHANGE), dictionary)
+    assert table_rows(incremental.current(spark, out, ["order_id"])) == table_rows(wide)
+    assert table_rows(changelog.standing(incremental.order_results(str(tmp_path / "store"), every=2, buckets=4).before(spark))) == table_rows(wide)
+
+
 NAMES = [("1", "web")]
 
 
